@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import language_id, packing, quality_fm, secrets, token_counts
+from blockloom.llm import decontaminate, language_id, packing, quality_fm, quality_rules, secrets, token_counts
 from blockloom.llm.common import held_out, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -25,6 +25,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, "doc_id").select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "lang_cover")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.summary(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), limit=2048)
 
@@ -45,6 +53,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op6_token_counts, op7_secret_scan, op9_quality_fm, op10_packing)
+    f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op9_quality_fm, op10_packing)
+}
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE: dict[str, str] = {
+    "op5_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+        b AS (SELECT item_id, {_TERMS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, list_slice(w, s + 1, s + 10) AS t FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM b WHERE len(w) > 0)),
+        size AS (SELECT DISTINCT len(t) AS n FROM win),
+        pl AS (SELECT doc_id, n, s, list_slice(w, s + 1, s + n) AS t FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, size WHERE len(w) >= n)),
+        hit AS (SELECT doc_id, s, n, item_id FROM pl JOIN win USING (t)),
+        place AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+        item AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN place USING (doc_id) LEFT JOIN item USING (doc_id)""",
 }
-ORACLE: dict[str, str] = {}
