@@ -72,7 +72,7 @@ def votes() -> dict[str, Column]:
     """The rules' votes on a row of statistics()."""
     n, chars = F.col("n_words"), F.col("word_chars")
     return {
-        "v_length": _vote(n < 15, n >= 40),
+        "v_length": _vote(n < 10, n >= 40),
         "v_word_length": _vote((chars < 2.5 * n) | (chars > 14 * n), (chars >= 3 * n) & (chars <= 10 * n)),
         "v_symbols": _vote(100 * F.col("n_symbols") > 20 * n, 100 * F.col("n_symbols") <= 5 * n),
         "v_lines": _vote(100 * F.col("n_dup_lines") > 30 * F.col("n_lines"), (F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0)),
@@ -83,51 +83,56 @@ def votes() -> dict[str, Column]:
     }
 
 
-def posterior(rates: dict[tuple[str, int, int], float], prior: float, names: list[str]) -> Column:
-    """P(good | votes); rates: (rule, class, vote) -> probability."""
+def posterior(rates: dict[tuple[str, int], float], prior: float, names: list[str]) -> Column:
+    """P(good | votes); rates: (rule, class) -> probability of a bad vote. Good votes and abstentions count alike."""
     odds = F.lit(math.log(prior / (1 - prior)))
     for j in names:
-        step = {v: math.log(rates[j, 1, v] / rates[j, 0, v]) for v in (-1, 0, 1)}
-        odds = odds + F.when(F.col(j) == -1, step[-1]).when(F.col(j) == 1, step[1]).otherwise(step[0])
+        bad, good = rates[j, 0], rates[j, 1]
+        odds = odds + F.when(F.col(j) == -1, math.log(good / bad)).otherwise(math.log((1 - good) / (1 - bad)))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def fit(voted: DataFrame, names: list[str], rounds: int = 20) -> tuple[dict[tuple[str, int, int], float], float]:
-    """EM over the vote patterns: rates of each vote in each class, and the share of good documents.
+def fit(voted: DataFrame, names: list[str], rounds: int = 20) -> tuple[dict[tuple[str, int], float], float]:
+    """EM over the vote patterns: each rule's rate of bad votes in each class, and the share of good documents.
 
-    The patterns (3**rules at most) are one array in one row, and the rounds one fold over it. The state is the share
-    of good documents and an array of rates, rule by rule, bad before good, votes -1, 0, 1.
+    The patterns (3**rules at most) are one array in one row, and the rounds one fold over it. The state is the share of
+    good documents and an array of rates, rule by rule, bad class before good. Rules are taken to be better than chance:
+    a rule hits a tenth of the bad documents at least, and one in a hundred good ones at most. None is taken to hit more
+    than four tenths of the bad ones: bad documents are bad for different causes, and rules that share one would otherwise
+    make that cause the class.
     """
-    rules, start = len(names), ((0.4, 0.2, 0.4), (0.02, 0.18, 0.8))
-    state = F.struct(F.lit(0.8).alias("prior"), F.array(*(F.lit(p) for _ in names for three in start for p in three)).alias("r"))
+    rules = len(names)
+    state = F.struct(F.lit(0.8).alias("prior"), F.array(*(F.lit(p) for _ in names for p in (0.25, 0.003))).alias("r"))
     pattern = F.struct(F.col("n").cast("double").alias("n"), F.array(*names).alias("v"))
     one = voted.groupBy(*names).agg(F.count("*").alias("n")).agg(F.collect_list(pattern).alias("seen"))
     zero = F.lit(0.0)
 
     def good(p: Column, s: Column) -> Column:
-        rate = lambda j, y: F.get(s["r"], j * 6 + 3 * y + F.get(p["v"], j) + 1)
-        odds = F.aggregate(F.sequence(F.lit(0), F.lit(rules - 1)), F.log(s["prior"] / (1 - s["prior"])), lambda a, j: a + F.log(rate(j, 1)) - F.log(rate(j, 0)))
+        rate = lambda j, y: F.get(s["r"], j * 2 + y)
+        odds = F.aggregate(
+            F.sequence(F.lit(0), F.lit(rules - 1)), F.log(s["prior"] / (1 - s["prior"])),
+            lambda a, j: a + F.when(F.get(p["v"], j) == -1, F.log(rate(j, 1) / rate(j, 0))).otherwise(F.log((1 - rate(j, 1)) / (1 - rate(j, 0)))),
+        )
         return 1 / (1 + F.exp(-odds))
 
     def again(w: Column) -> Column:
         total = lambda c: F.aggregate(w, zero, lambda a, x: a + x[c])
 
         def rate(t: Column, k: Column) -> Column:
-            j, y, v = F.floor(k / 6).cast("int"), F.floor(k / 3).cast("int") % 2, k % 3 - 1
-            had = F.aggregate(w, zero, lambda a, x: a + F.when(F.get(x["v"], j) == v, F.when(y == 1, x["g"]).otherwise(x["b"])).otherwise(zero))
-            # a weak pull to the rules' meaning, for votes that were hardly ever seen
-            pull = F.when(v == -1, F.when(y == 1, 0.02).otherwise(0.4)).otherwise(0.5)
-            return F.greatest(F.lit(1e-4), F.least(F.lit(0.9999), (had + 2 * pull) / (F.when(y == 1, t["g"]).otherwise(t["b"]) + 2)))
+            j, y = F.floor(k / 2).cast("int"), k % 2
+            had = F.aggregate(w, zero, lambda a, x: a + F.when(F.get(x["v"], j) == -1, F.when(y == 1, x["g"]).otherwise(x["b"])).otherwise(zero))
+            pulled = (had + F.when(y == 1, 0.006).otherwise(0.5)) / (F.when(y == 1, t["g"]).otherwise(t["b"]) + 2)
+            return F.greatest(F.when(y == 1, 1e-4).otherwise(0.1), F.least(F.when(y == 1, 0.01).otherwise(0.4), pulled))
 
-        prior = lambda t: F.greatest(F.lit(0.001), F.least(F.lit(0.999), (t["g"] + 8) / (t["g"] + t["b"] + 10)))
-        return let(F.struct(total("g").alias("g"), total("b").alias("b")), lambda t: F.struct(prior(t).alias("prior"), F.transform(F.sequence(F.lit(0), F.lit(6 * rules - 1)), lambda k: rate(t, k)).alias("r")))
+        prior = lambda t: F.greatest(F.lit(0.05), F.least(F.lit(0.99), (t["g"] + 8) / (t["g"] + t["b"] + 10)))
+        return let(F.struct(total("g").alias("g"), total("b").alias("b")), lambda t: F.struct(prior(t).alias("prior"), F.transform(F.sequence(F.lit(0), F.lit(2 * rules - 1)), lambda k: rate(t, k)).alias("r")))
 
     def step(s: Column, _: Column) -> Column:
         weigh = lambda p: let(good(p, s), lambda q: F.struct(p["v"].alias("v"), (p["n"] * q).alias("g"), (p["n"] * (1 - q)).alias("b")))
         return let(F.transform("seen", weigh), again)
 
     out = one.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state, step).alias("s")).first()["s"]
-    return {(j, y, v): out["r"][6 * i + 3 * y + v + 1] for i, j in enumerate(names) for y in (0, 1) for v in (-1, 0, 1)}, out["prior"]
+    return {(j, y): out["r"][2 * i + y] for i, j in enumerate(names) for y in (0, 1)}, out["prior"]
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 20, threshold: float = 0.5) -> DataFrame:
