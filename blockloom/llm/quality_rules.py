@@ -97,7 +97,7 @@ def fit(voted: DataFrame, names: list[str], rounds: int = 20) -> tuple[dict[tupl
 
     The patterns (3**rules at most) are one array in one row, and the rounds one fold over it. The state is the share of
     good documents and an array of rates, rule by rule, bad class before good. Rules are taken to be better than chance:
-    a rule hits a tenth of the bad documents at least, and one in a hundred good ones at most. None is taken to hit more
+    a rule hits a tenth of the bad documents at least, and one in five hundred good ones at most. None is taken to hit more
     than four tenths of the bad ones: bad documents are bad for different causes, and rules that share one would otherwise
     make that cause the class.
     """
@@ -122,7 +122,7 @@ def fit(voted: DataFrame, names: list[str], rounds: int = 20) -> tuple[dict[tupl
             j, y = F.floor(k / 2).cast("int"), k % 2
             had = F.aggregate(w, zero, lambda a, x: a + F.when(F.get(x["v"], j) == -1, F.when(y == 1, x["g"]).otherwise(x["b"])).otherwise(zero))
             pulled = (had + F.when(y == 1, 0.006).otherwise(0.5)) / (F.when(y == 1, t["g"]).otherwise(t["b"]) + 2)
-            return F.greatest(F.when(y == 1, 1e-4).otherwise(0.1), F.least(F.when(y == 1, 0.01).otherwise(0.4), pulled))
+            return F.greatest(F.when(y == 1, 1e-4).otherwise(0.1), F.least(F.when(y == 1, 0.002).otherwise(0.4), pulled))
 
         prior = lambda t: F.greatest(F.lit(0.05), F.least(F.lit(0.99), (t["g"] + 8) / (t["g"] + t["b"] + 10)))
         return let(F.struct(total("g").alias("g"), total("b").alias("b")), lambda t: F.struct(prior(t).alias("prior"), F.transform(F.sequence(F.lit(0), F.lit(2 * rules - 1)), lambda k: rate(t, k)).alias("r")))
