@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import decontaminate, language_id, packing, quality_fm, quality_rules, secrets, token_counts
+from blockloom.llm import decontaminate, jaccard_join, language_id, packing, quality_fm, quality_rules, secrets, token_counts
 from blockloom.llm.common import held_out, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -42,6 +42,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(docs))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), percent=90, shingle=3).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_fm.fit(docs, labels, ~held_out("doc_id", 5, 0))
@@ -53,7 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op9_quality_fm, op10_packing)
+    f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing)
 }
 _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE: dict[str, str] = {
