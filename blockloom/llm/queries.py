@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import decontaminate, jaccard_join, language_id, packing, quality_fm, quality_rules, secrets, token_counts
+from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, token_counts
 from blockloom.llm.common import held_out, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -19,6 +19,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = lm_scoring.score(docs, ~held_out("doc_id", 10, 0))
+    return out.select("doc_id", held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, ~held_out("doc_id", 4, 2))
@@ -57,7 +63,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing)
+    f.__name__: f for f in (op1_lm_scoring, op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing)
 }
 _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE: dict[str, str] = {
