@@ -62,6 +62,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:10]}-{next(_count)}"
     df.write.parquet(path)
+    spark._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of plans that nothing refers to any more
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

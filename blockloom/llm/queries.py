@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, token_counts
+from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, substring_dedup, token_counts
 from blockloom.llm.common import held_out, table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove(table(spark, sf_dir, "documents"), k=35).drop("kept")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, ~held_out("doc_id", 4, 2))
@@ -63,10 +67,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing)
+    f.__name__: f for f in (op1_lm_scoring, op2_substring_dedup, op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing)
 }
 _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLE: dict[str, str] = {
+    "op2_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, s, md5(array_to_string(list_slice(w, s + 1, s + 35), ' ')) AS h FROM (SELECT doc_id, w, unnest(range(0, len(w) - 34)) AS s FROM d WHERE len(w) >= 35)),
+        again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM win JOIN again USING (h)),
+        word AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS p FROM d),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op5_decontamination": f"""
         WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
         b AS (SELECT item_id, {_TERMS} AS w FROM benchmark),
