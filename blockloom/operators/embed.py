@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.config import VectorOptions
+from blockloom.runtime import ship
 
 
 class Provider(Protocol):
@@ -97,6 +98,7 @@ class Limiter:
 def embed(requests: DataFrame, factory: Callable[[], Provider], options: VectorOptions, tasks: int = 1, limited: bool = True) -> DataFrame:
     """file_path, block_id, embedding (null after a failure), error of rows (file_path, request, batch, block_seq, block_id,
     text, tokens). The minute's budget is divided among `tasks` partitions; a request's rows are handled together."""
+    ship(requests.sparkSession)
     dim, retries = options.dimension, options.retries
     schema = "file_path string, block_id string, embedding array<float>, error string"
 

@@ -11,7 +11,6 @@ from blockloom.config import ParserOptions
 SCHEMA = "file_path string, text string"
 
 
-@F.pandas_udf("string")
 def _legacy(content: pd.Series) -> pd.Series:
     """GBK, else Latin-1 (which takes any bytes)."""
 
@@ -38,7 +37,7 @@ def decoded(raw: DataFrame) -> DataFrame:
     text, known = decode(F.col("content"))
     rows = raw.select("file_path", "content", known.alias("known"))
     modern = rows.filter("known").select("file_path", text.alias("text"))
-    return modern.union(rows.filter("not known").select("file_path", _legacy("content").alias("text")))
+    return modern.union(rows.filter("not known").select("file_path", F.pandas_udf(_legacy, "string")("content").alias("text")))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
