@@ -11,7 +11,6 @@ import math
 import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,33 +20,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockloom.runtime import ship as ship
+
 #: Text handled at once inside a Python worker; bounds the worker's memory for texts of ordinary length.
 SLICE_BYTES = 8 << 20
 _count = itertools.count()
-_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of a cluster that has no copy of the repository."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    _shipped.add(sc.applicationId)
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(), "blockloom_pkg.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for base, _, names in os.walk(root):
-            for n in names:
-                if n.endswith(".py"):
-                    full = os.path.join(base, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(path)
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
