@@ -1,0 +1,373 @@
+"""Every operator against a brute-force version on a small table with the awkward cases."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, substring_dedup, token_counts
+from blockloom.llm.common import held_out
+from blockloom.llm.components import components
+from blockloom.llm.queries import BYTE_BPE, WORD_BPE, vocabulary
+from blockloom.llm.tokenizing import ByteIds, WordLengths, load
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, start bigint, term string, key bigint"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def corpus():
+    rng = random.Random(5)
+    words = {"en": "the of and to in that was he it with for as on his is at by be this from".split(), "fr": "le la les des et à un être pour que dans ce qui sur ne pas plus été avec où".split()}
+    rows = []
+
+    def add(text, lang="en"):
+        rows.append((len(rows), text, lang, "s", None if text is None else len(text), 7, "x", 9))
+
+    make = lambda n, lang: " ".join(rng.choice(words[lang]) + rng.choice(["", "", "er", "ing", "x" * rng.randint(1, 5) + str(rng.randint(0, 99))]) for _ in range(n))
+    for i in range(60):
+        lang = ("en", "fr")[i % 2]
+        add(make(rng.choice([3, 12, 40, 90, 200]), lang).capitalize() + (".\n" if i % 3 else "\n") + make(20, lang) + ".", lang)
+    long = [r[1] for r in rows if len(r[1].split()) > 100]
+    for t in long[:6]:
+        w = t.split(" ")
+        w[len(w) // 2] = "changed"
+        add(" ".join(w))
+        add(t)
+        add(t + " tail words here")
+    passage = " ".join(f"passage{i}" for i in range(50))
+    for i in range(4):
+        add(make(30, "en") + " " + passage + " " + make(30, "en"))
+    add(passage + " " + passage)
+    add(" ".join(["same"] * 120))
+    add(make(30, "en") + ' token = "' + hashlib.sha1(b"1").hexdigest() + '" ' + "AKIA" + "ABCDEFGHIJ0123456789")
+    add(None)
+    add("")
+    add(" \n\t ")
+    add("123 456 !!!")
+    add("a\n" * 30 + "### $$$ " * 40)
+    add("Ωmega 中文字 <|endoftext|> Éa don't it's  two  spaces\n\n\tend")
+    add(make(9000, "fr"), None)
+    rows.append(rows[3])  # a repeated row
+    rows.append((None, "null id text the of and", "en", None, None, None, None, None))
+    return rows
+
+
+ROWS = corpus()
+UNIQUE = {r[0]: r[1] or "" for r in ROWS if r[0] is not None}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_id(frame):
+    return {r.doc_id: r for r in frame.collect()}
+
+
+def lowered(text):
+    return [w.decode() for w in text.translate(LOWER).encode().split()]
+
+
+def test_lm_scoring(docs, empty):
+    got = by_id(lm_scoring.score(docs, ~held_out("doc_id", 10, 0)))
+    rows = [(i, lowered(t or "") + [None]) for i, t, *_ in ROWS]
+    count = Counter(w for i, ws in rows if i is None or zlib.crc32(str(i).encode()) % 10 for w in ws)
+    total, distinct = sum(count.values()), len(count)
+    expected = {}
+    for i, ws in rows:
+        n, known, base = expected.get(i, (0, 0, 0.0))
+        expected[i] = n + len(ws), known + sum(count[w] > 0 for w in ws), base + sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in ws)
+    assert set(got) == set(expected)
+    for i, (n, known, base) in expected.items():
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        assert r.score < 0 and math.isfinite(r.score)
+    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
+    assert lm_scoring.score(empty, ~held_out("doc_id", 10, 0)).count() == 0
+
+
+def test_lm_scoring_joins_words_beyond_the_table(docs):
+    all_, few = (by_id(lm_scoring.score(docs, F.lit(True), table_size=n)) for n in (1 << 17, 3))
+    for i, r in all_.items():
+        assert few[i].n_known == r.n_known and few[i].base_score == pytest.approx(r.base_score, rel=1e-9)
+
+
+def test_filter_counts_are_close(spark):
+    rng = np.random.default_rng(0)
+    keys, n = rng.integers(0, 1 << 63, 3000).astype(np.uint64), rng.integers(1, 5000, 3000)
+    rows = spark.createDataFrame([(1, int(k), float(c)) for k, c in zip(keys, n, strict=True)], "kind tinyint, key bigint, n double")
+    f = lm_scoring.build(lm_scoring.levelled(rows), 1, 1, 64 << 20)
+    got = f.ask(keys, 1)
+    assert (got >= n * 0.85).all() and np.mean(np.abs(got - n) <= 0.2 * n) > 0.85
+    assert np.mean(f.ask(rng.integers(0, 1 << 63, 3000).astype(np.uint64), 1) > 0) < 0.02
+    small = lm_scoring.build(lm_scoring.levelled(rows), 1, 1, 1 << 17)
+    assert small.bits.nbytes <= 1 << 17
+
+
+@pytest.mark.parametrize("k", [35, 20])
+def test_substring_dedup(docs, empty, k):
+    texts = [(i, (t or "").encode().split()) for i, t, *_ in ROWS]
+    count = Counter(tuple(w[s : s + k]) for _, w in texts for s in range(len(w) - k + 1))
+    expected = {}
+    for i, w in texts:
+        gone = {p for s in range(len(w) - k + 1) if count[tuple(w[s : s + k])] > 1 for p in range(s, s + k)}
+        kept = b" ".join(x for p, x in enumerate(w) if p not in gone)
+        expected[i] = len(w), len(gone), hashlib.sha256(kept).hexdigest()
+    rows = substring_dedup.remove(docs, k).collect()
+    assert len(rows) == len(ROWS)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows} == expected
+    assert substring_dedup.remove(empty, k).count() == 0
+
+
+def test_units_do_not_depend_on_chunks(monkeypatch):
+    rng = np.random.default_rng(1)
+    h, ends = rng.integers(0, 50, 4000).astype(np.uint64), np.array([0, 1500, 1520, 4000])
+    whole = substring_dedup.units(h, ends, 35)
+    monkeypatch.setattr(substring_dedup, "CHUNK", 300)
+    parts = substring_dedup.units(h, ends, 35)
+    windows = lambda u: {(int(t), int(s) + j, int(m)) for m, _, _, t, s, n in zip(*u, strict=True) for j in range(n)}
+    assert windows(whole) == windows(parts)
+    assert sum(whole[5]) == 1466 + 0 + 2446
+
+
+def test_language_id(docs, empty):
+    train = ~held_out("doc_id", 4, 2)
+    model = language_id.fit(docs, train)
+    got = language_id.predict(docs, model, "doc_id", "lang").collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        text = UNIQUE.get(r.doc_id)
+        if text is not None and not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        assert 0 <= r.score <= 1
+    clear = [r for r in got if r.lang in ("en", "fr") and r.doc_id is not None and r.doc_id < 60 and len(UNIQUE[r.doc_id]) > 150]
+    assert np.mean([r.lang_pred == r.lang for r in clear]) > 0.95
+    assert language_id.predict(empty, language_id.fit(empty, train), "doc_id").count() == 0
+    assert {r.lang_pred for r in language_id.predict(docs, language_id.fit(empty, train), "doc_id").collect()} == {"und"}
+
+
+def test_quality_rules(docs, empty):
+    got = quality_rules.judge(docs).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        if r.doc_id is None:
+            continue
+        t = UNIQUE[r.doc_id]
+        w = WORD.findall(t)
+        grams = [tuple(w[s : s + 5]) for s in range(len(w) - 4)]
+        count = Counter(grams)
+        again = {p for s, g in enumerate(grams) if count[g] > 1 for p in range(s, s + 5)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again))
+        assert r.base_failed == (len(w) < 10 or 100 * len(again) > 20 * len(w))
+        assert not (r.base_failed and r.kept) and 0 <= r.quality <= 1
+    assert quality_rules.judge(empty).count() == 0
+
+
+def test_quality_rules_use_no_python(docs):
+    plan = quality_rules.judge(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+ITEMS = [(0, "passage3 passage4 PASSAGE5-passage6 passage7 passage8 passage9 passage10 passage11 passage12 passage13"), (1, "same same same"), (2, None), (3, ""), (4, "the the the"), (10, "tail words here"), (11, "中文字"), (12, "never anywhere")]
+
+
+def test_decontamination(spark, docs, empty):
+    bench = spark.createDataFrame([(*r, "clash") for r in ITEMS], "item_id bigint, text string, win string").repartition(3)
+    term = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    split = lambda t: term.findall((t or "").translate(LOWER))
+    wins = [(i, w[s : s + 10]) for i, t in ITEMS for w in [split(t)] if w for s in range(max(len(w) - 10, 0) + 1)]
+    for small in (1 << 20, 0):
+        got = decontaminate.summary(docs, bench, broadcast_terms=small).collect()
+        assert len(got) == len(ROWS)
+        for r in got:
+            if r.doc_id is None:
+                continue
+            w = split(UNIQUE[r.doc_id])
+            hits = [(i, s, len(g)) for i, g in wins for s in range(len(w) - len(g) + 1) if w[s : s + len(g)] == g]
+            items = sorted({str(i) for i, _, _ in hits})
+            places = {p for _, s, n in hits for p in range(s, s + n)}
+            assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (len(w), len(places), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(places)), r.doc_id
+    assert decontaminate.summary(empty, bench).count() == 0
+    assert not any(r.contaminated for r in decontaminate.summary(docs, bench.limit(0)).collect())
+    near = decontaminate.matches(docs, spark.createDataFrame([(1, "here tail words")], "item_id bigint, text string"), kind="proximity").collect()
+    assert {r.doc_id for r in near} >= {i for i, t in UNIQUE.items() if t.endswith("tail words here")}
+
+
+def test_token_counts(docs, empty):
+    tok = load(vocabulary(WORD_BPE))
+    got = token_counts.count_tokens(docs, vocabulary(WORD_BPE), limit=100).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        if r.doc_id is not None:
+            t = UNIQUE[r.doc_id]
+            n = len(tok.encode(t, add_special_tokens=False).ids)
+            assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(t.encode()), n, n > 100)
+    assert token_counts.count_tokens(empty, vocabulary(WORD_BPE)).count() == 0
+
+
+def test_tokenizing_agrees_with_the_library():
+    words, ids = WordLengths(vocabulary(WORD_BPE)), ByteIds(vocabulary(BYTE_BPE))
+    rng = random.Random(2)
+    letters = [chr(i) for i in range(0x250)] + list("  \n\t''sstdmabc019") * 20 + ["̇", "́", "Σ", "中", "é"]
+    for i in range(3000):
+        t = "".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) + "<|endoftext|>" * (i % 50 == 0)
+        assert words.count(t) == len(words.tok.encode(t, add_special_tokens=False).ids), repr(t)
+        assert ids.encode(t) == np.array(ids.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), repr(t)
+
+
+def test_secret_scan(docs, empty):
+    model = secrets.fit(docs)
+    got = secrets.scan(docs, model).collect()
+    assert len(got) == len(ROWS)
+    patterns = [r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "AKIA[A-Z0-9]+", "[0-9a-f]+"]
+    for r in got:
+        if r.doc_id is not None:
+            spans = [(m.start(), k, m.end()) for k, p in enumerate(patterns) for m in re.finditer(p, UNIQUE[r.doc_id]) if len(m[1] if k == 0 else m[0]) >= (6, 20, 24)[k]]
+            assert r.base_sha256 == hashlib.sha256(secrets.joined(spans).encode()).hexdigest()
+            assert all(x in r.spans for x in secrets.joined(spans).split(","))
+    clean = {r.doc_id: r for r in secrets.redact(docs, model).collect()}
+    assert len(clean) == len({r[0] for r in ROWS}) and not any("AKIAABC" in (r.text or "") for r in clean.values())
+    assert clean[0].text == UNIQUE[0] and clean[0].start == 7
+    assert secrets.scan(empty, secrets.fit(empty)).count() == 0
+
+
+def test_automata_find_the_format():
+    rng = random.Random(3)
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest().translate(secrets.TO_CLASS) for i in range(200)]
+    plain = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(16, 30))).translate(secrets.TO_CLASS) for _ in range(400)]
+    model = secrets.Model({"hex": hexes}, plain)
+    text = "see " + hashlib.sha1(b"new").hexdigest() + " and internationalisation-of-things"
+    assert model.score(hashlib.sha1(b"x").hexdigest()) > model.bits
+    assert secrets.learned_spans(text, [], model) == [(4, 3, 44)]
+    assert len(model.automata["hex"].step) > 1
+
+
+def near_copies(rng, groups=6):
+    rows, n = [], 0
+    for g in range(groups):
+        base = [f"g{g}w{rng.randint(0, 400)}" for _ in range(rng.choice([4, 11, 30, 150, 600]))]
+        for _ in range(rng.choice([1, 8, 25])):
+            w = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, max(1, len(w) // 60)])):
+                w[rng.randrange(len(w))] = f"n{rng.randint(0, 10**6)}"
+            rows.append((n, " ".join(w)))
+            n += 1
+    return rows
+
+
+@pytest.mark.parametrize(("percent", "size"), [(90, 3), (80, 5)])
+def test_jaccard_join(spark, empty, percent, size):
+    rows = near_copies(random.Random(percent)) + [(900, None), (901, ""), (902, "two Words"), (903, "TWO words"), (904, "a"), (905, "a a a a a")]
+    rows += [rows[0]]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id bigint, text string, cls int, sig string").repartition(4)
+    sets = {}
+    for i, t in rows:
+        w = lowered(t or "")
+        sets[i] = {tuple(w[s : s + size]) for s in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                a_, b_ = find(a), find(b)
+                root[max(a_, b_)] = min(a_, b_)
+    got = jaccard_join.join(docs, percent, size).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
+    assert jaccard_join.join(empty, percent, size).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 90, 95])
+def test_linked_sets_share_a_signature(percent):
+    rng, bands, linked = np.random.default_rng(percent), jaccard_join.Bands(percent), 0
+    for _ in range(1500):
+        n = int(rng.integers(1, 60)) if rng.random() < 0.5 else int(rng.integers(60, 900))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        cut = int(rng.integers(0, int((100 - percent) / 100 * n) + 2))
+        new = int(rng.integers(0, cut + 1))
+        b = np.concatenate([a[cut - new :], rng.integers(0, 1 << 63, new).astype(np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+            linked += 1
+            assert set(jaccard_join.signatures(a, bands).tolist()) & set(jaccard_join.signatures(b, bands).tolist())
+            differ = sum(int(x).bit_count() for x in (jaccard_join.bitmap(a) ^ jaccard_join.bitmap(b)).view(np.uint64))
+            assert differ <= len(a) + len(b) - 2 * both
+    assert linked > 500
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 105), (105, 103), (200, 200)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 105: 100, 103: 100}
+
+
+def test_quality_fm(spark, docs, empty):
+    rng = random.Random(4)
+    rows = [(i, " ".join((rng.choice("abcdefgh") * 5 + ("###" if i % 3 == 0 else "")) for _ in range(60)), i % 3 != 0) for i in range(400)]
+    table = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(q)) for i, _, q in rows] + [(None, 1), (3, None)], "doc_id bigint, quality int")
+    got = by_id(quality_fm.score(table, quality_fm.fit(table, labels, ~held_out("doc_id", 5, 0))))
+    assert np.mean([(got[i].score >= 0.3) == q for i, _, q in rows if zlib.crc32(str(i).encode()) % 5 == 0]) > 0.95
+    odd = quality_fm.score(docs, quality_fm.fit(docs, labels.limit(0), F.lit(True))).collect()
+    assert len(odd) == len(ROWS) and all(0 <= r.score <= 1 for r in odd)
+    assert quality_fm.score(empty, quality_fm.Machine()).count() == 0
+
+
+def test_sum_of_squares_identity():
+    rng = np.random.default_rng(0)
+    m = quality_fm.Machine()
+    index, value = np.array([3, 9, 200, 9000], np.int32), rng.random(4).astype(np.float32)
+    slow = m.bias + (m.w[index] * value).sum() + sum(float(m.v[i] @ m.v[j]) * value[a] * value[b] for a, i in enumerate(index) for b, j in enumerate(index) if a < b)
+    assert m.raw(index, value, np.array([0, 4]))[0][0] == pytest.approx(slow, abs=1e-5)
+
+
+def test_packing(docs, empty):
+    got = packing.pack(docs, vocabulary(BYTE_BPE), length=128).collect()
+    tok = load(vocabulary(BYTE_BPE))
+    sizes = Counter()
+    places = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == sizes[r.sequence_id]
+        sizes[r.sequence_id] += r.length
+        if r.doc_id is not None:
+            ids = np.array([*tok.encode(UNIQUE[r.doc_id], add_special_tokens=False).ids, 0], "<u4")
+            assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+            places.setdefault(r.doc_id, []).append((r.start, r.length))
+    assert all(n <= 128 and n & (n - 1) == 0 for n in sizes.values())
+    for i, own in places.items():
+        times = sum(r[0] == i for r in ROWS)
+        assert sum(n for _, n in own) == times * (len(tok.encode(UNIQUE[i], add_special_tokens=False).ids) + 1)
+    assert set(places) == set(UNIQUE)
+    assert packing.pack(empty, vocabulary(BYTE_BPE)).count() == 0
+
+
+def test_hilbert_key_is_a_curve():
+    cells = np.array([(x, y) for x in range(8) for y in range(8)])
+    order = cells[np.argsort(packing.hilbert_key(cells, 3))]
+    assert (np.abs(np.diff(order, axis=0)).sum(axis=1) == 1).all()
+    cube = np.array([(x, y, z) for x in range(4) for y in range(4) for z in range(4)])
+    keys = packing.hilbert_key(cube, 2)
+    assert sorted(keys.tolist()) == list(range(64)) and (np.abs(np.diff(cube[np.argsort(keys)], axis=0)).sum(axis=1) == 1).all()
