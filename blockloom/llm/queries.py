@@ -92,4 +92,12 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN place USING (doc_id) LEFT JOIN item USING (doc_id)""",
+    "op8_jaccard_join": """
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s + 1, s + 3), ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS s FROM d WHERE len(w) > 0)),
+        size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (SELECT x, y FROM both_ JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * i >= 90 * (p.n + q.n - i)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
+        SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(y) AS component_id FROM d LEFT JOIN size USING (doc_id) JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id""",
 }
