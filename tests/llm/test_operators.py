@@ -8,11 +8,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, substring_dedup, token_counts
-from blockloom.llm.common import held_out
+from blockloom.llm.common import hash_words, held_out, slices, split_words
 from blockloom.llm.components import components
 from blockloom.llm.queries import BYTE_BPE, WORD_BPE, vocabulary
 from blockloom.llm.tokenizing import ByteIds, WordLengths, load
@@ -118,6 +119,19 @@ def test_filter_counts_are_close(spark):
     assert small.bits.nbytes <= 1 << 17
 
 
+def test_slices_keep_all_words():
+    texts = [t for _, t, *_ in ROWS] * 4
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    for lower in (False, True):
+        whole, ends = split_words(batch.column("text"), lower)
+        assert [w.encode() for w in whole.to_pylist()] == [w for t in texts for w in ((t or "").translate(LOWER) if lower else t or "").encode().split()]
+        parts = [split_words(p.column("text"), lower) for p in slices(batch, most=4000)]
+        assert len(parts) > 20
+        assert [w for p, _ in parts for w in p.to_pylist()] == whole.to_pylist()
+        assert np.array_equal(np.concatenate([hash_words(p) for p, _ in parts]), hash_words(whole))
+        assert sum(e[-1] for _, e in parts) == ends[-1]
+
+
 @pytest.mark.parametrize("k", [35, 20])
 def test_substring_dedup(docs, empty, k):
     texts = [(i, (t or "").encode().split()) for i, t, *_ in ROWS]
