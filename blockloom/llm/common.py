@@ -98,11 +98,16 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         start = stop
 
 
+def whole(text: pa.Array) -> pa.Array:
+    """Texts as an array of their own, nulls as empty ones. (A slice that is cast and then lowered has its offsets read wrongly.)"""
+    if text.offset:
+        text = text.take(pa.array(np.arange(len(text))))
+    return pc.fill_null(text.cast(pa.large_string()), "")
+
+
 def split_words(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in a row, and each text's first word (one more offset than texts)."""
-    text = pc.fill_null(text.cast(pa.large_string()), "")
-    if text.offset:  # Arrow's kernels for case read a slice's offset wrongly, so a slice is copied to an array of its own
-        text = text.take(pa.array(np.arange(len(text))))
+    text = whole(text)
     if lower:
         text = pc.ascii_lower(text)
     lists = pc.ascii_split_whitespace(text)

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import doc_index, emit, hash_words, ship, slices, split_words, sums
+from blockloom.llm.common import doc_index, emit, hash_words, ship, slices, split_words, sums, whole
 
 WORD_BITS, RANK, BINS, STATS = 14, 8, 16, 9
 WORDS = 1 << WORD_BITS
@@ -28,7 +28,7 @@ SIZE = WORDS + STATS * BINS
 
 def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature index and value of every non-zero feature, and each text's first (one more)."""
-    text = pc.fill_null(text.cast(pa.large_string()), "")
+    text = whole(text)
     flat, ends = split_words(text, lower=True)
     docs, n = len(ends) - 1, np.diff(ends)
     bucket = (hash_words(flat) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
