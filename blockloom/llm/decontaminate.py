@@ -23,14 +23,23 @@ from pyspark.sql.window import Window
 
 from blockloom.llm.common import store
 
-TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates terms, before and after A-Z are lowered. Splitting is about twice as fast as gathering matches.
+ANY_BREAK, LOW_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _text(text: str | Column) -> Column:
+    return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
 def terms(text: str | Column) -> Column:
-    t = F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
+    t = _text(text)
     # lower() is A-Z only where all is ASCII; elsewhere just those letters are translated
     low = F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, string.ascii_uppercase, string.ascii_lowercase))
-    return F.regexp_extract_all(low, F.lit(TERM), 0)
+    return F.array_remove(F.split(low, LOW_BREAK), "")
+
+
+def count_terms(text: str | Column) -> Column:
+    return F.size(F.array_remove(F.split(_text(text), ANY_BREAK), "")).cast("long")
 
 
 def windows(benchmark: DataFrame, size: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -81,7 +90,7 @@ def summary(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str =
     spans = hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("spans"), F.collect_set("item_id").alias("ids"))  # no more than a document's words, and than the benchmark's items
     covered = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))))
     per_doc = spans.select(F.col("doc_id").alias("hit_id"), covered.cast("long").alias("n_hit"), F.array_sort(F.transform("ids", lambda i: i.cast("string"))).alias("items"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.size(terms(text_col)).cast("long").alias("n_words"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), count_terms(text_col).alias("n_words"))
     out = rows.join(per_doc, rows.doc_id.eqNullSafe(per_doc.hit_id), "left").drop("hit_id")
     none = F.array().cast("array<string>")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce(F.size(F.coalesce("items", none)), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", none).alias("items"), F.sha2(F.array_join(F.coalesce("items", none), ",").cast("binary"), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0).cast("long")) > 0).alias("contaminated"))
