@@ -8,10 +8,11 @@ level until a probe fails gives the count back. The filter also holds, per histo
     P(w | v) = max(c(vw) - D, 0) / c(v) + (1 - S(v) / c(v)) P(w),   P(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))
     S(v) = sum over kept bigrams of (c(vx) - D)
 
-Only bigrams seen `least` times or more are kept; the rest of v's mass goes to P(w). The filter is built in segments on
-the executors and broadcast; its size grows with the n-grams up to `filter_bytes`, the documented bound, past which
-the least count of what enters is raised (the base score stays exact). Building partitions by segment, so no task holds
-more than one segment's keys.
+Only bigrams seen `least` times or more are kept; the rest of v's mass goes to P(w). The filter grows with the n-grams:
+all of them enter, at all their levels. It is built in segments and stays on the executors, in blocks of segments of at
+most `filter_bytes`. Texts are taken in slices; each slice's distinct keys are shuffled to their blocks, answered there,
+and the levels are shuffled back to the slice, which is then scored. Building is sorted by segment, so a task holds one
+segment's keys at a time; answering holds one block.
 
 The exact base score uses two tiers: the counts of the `table_size` most frequent words are broadcast, the others'
 (doc_id, word, occurrences) rows are joined with the count table.
@@ -27,16 +28,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import doc_index, drop, emit, hash_words, mix, ship, slices, split_words, store
+from blockloom.llm.common import doc_index, drop, emit, hash_words, mix, partitions, ship, slices, split_words, store
 
 #: The end token's hash, and its place as the first word's history. Fixed values outside any word's role.
 END = 0x6C6F6F6D5F656E64
 LEVELS = sorted({int(1.125**k) for k in range(350)})
 DISCOUNT, HASHES, MORE_HASHES, SEGMENT_BITS = 0.75, 8, 3, 1 << 20
 UNI, BI, MASS = 1, 2, 3
+#: The count that stands for each level; 0 for none.
+VALUES = np.array([0.0, *((a + b) / 2 for a, b in zip(LEVELS, [*(x - 1 for x in LEVELS[1:]), LEVELS[-1]], strict=True))])
+#: Keys in one row of questions.
+ASKED = 1 << 15
 
 
 def tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,69 +97,74 @@ def probes(keys: np.ndarray, kind: int, level: int, segments: int) -> tuple[np.n
 
 @dataclass
 class LogFrequencyFilter:
+    """Segments `first` and on of a filter that has `segments` of them (all of its own by default)."""
+
     bits: np.ndarray  # segments x SEGMENT_BITS / 8
     total: int
     distinct: int
+    first: int = 0
+    segments: int = 0
 
-    def ask(self, keys: np.ndarray, kind: int) -> np.ndarray:
-        """The count each key has by the filter: 0, or the value of the last level found."""
-        out, at, own, level = np.zeros(len(keys)), np.arange(len(keys)), keys, 1
+    def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
+        """The last level found of each key, 0 if none."""
+        out, at, own, level = np.zeros(len(keys), np.uint16), np.arange(len(keys)), keys, 1
         while len(own) and level <= len(LEVELS):
-            seg, bit = probes(own, kind, level, len(self.bits))
+            seg, bit = probes(own, kind, level, self.segments or len(self.bits))
+            seg = seg.astype(np.int64) - self.first
             held = np.ones(len(own), bool)
             for row in bit:
-                held &= (self.bits[seg.astype(np.int64), (row >> np.uint64(3)).astype(np.int64)] >> (row & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                held &= (self.bits[seg, (row >> np.uint64(3)).astype(np.int64)] >> (row & np.uint64(7)).astype(np.uint8)) & 1 == 1
             at, own = at[held], own[held]
-            top = LEVELS[level] - 1 if level < len(LEVELS) else LEVELS[-1]
-            out[at] = (LEVELS[level - 1] + top) / 2
+            out[at] = level
             level += 1
         return out
 
-    def score(self, h: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log10 probability of each token."""
-        words, at = np.unique(h, return_inverse=True)
-        pairs, pair_at = np.unique(bigrams(h, ends), return_inverse=True)
-        c = self.ask(words, UNI)[at]
+    def ask(self, keys: np.ndarray, kind: int) -> np.ndarray:
+        """The count each key has by the filter: 0, or the value of the last level found."""
+        return VALUES[self.levels(keys, kind)]
+
+
+class Questions:
+    """The distinct keys that a slice of texts asks for, and its scores once their levels are known."""
+
+    def __init__(self, h: np.ndarray, ends: np.ndarray):
+        self.ends = ends
+        self.words, self.at = np.unique(h, return_inverse=True)
+        self.pairs, self.pair_at = np.unique(bigrams(h, ends), return_inverse=True)
+        self.history, self.history_at = np.unique(self.pairs >> np.uint64(32), return_inverse=True)
+        self.keys = np.concatenate([self.words, self.pairs, self.history])
+        self.kinds = np.repeat(np.array([UNI, BI, MASS], np.int8), [len(self.words), len(self.pairs), len(self.history)])
+
+    def dealt(self, segments: int, each: int) -> tuple[np.ndarray, np.ndarray]:
+        """Order of the keys by block of `each` segments (kinds in order inside a block), and the ordered keys' blocks."""
+        block = np.concatenate([probes(k, kind, 1, segments)[0] for k, kind in ((self.words, UNI), (self.pairs, BI), (self.history, MASS))]).astype(np.int64) // each
+        order = np.argsort(block, kind="stable")
+        return order, block[order]
+
+    def score(self, levels: np.ndarray, total: int, distinct: int) -> np.ndarray:
+        """log10 probability of each token; levels are those of `keys`."""
+        value = VALUES[levels]
+        words, pairs, history = np.split(value, [len(self.words), len(self.words) + len(self.pairs)])
+        c = words[self.at]
         before = np.concatenate([[0.0], c[:-1]]) if len(c) else c
-        ends_n = self.ask(np.array([END], np.uint64), UNI)[0]
-        before[ends[:-1]] = ends_n
-        history, history_at = np.unique(pairs >> np.uint64(32), return_inverse=True)
-        mass = self.ask(history, MASS)[history_at][pair_at]
-        seen = np.maximum(self.ask(pairs, BI)[pair_at] - DISCOUNT, 0.0)
-        base = (c + 0.1) / (self.total + 0.1 * (self.distinct + 1))
+        before[self.ends[:-1]] = words[np.searchsorted(self.words, np.uint64(END))]  # each text has an end
+        mass = history[self.history_at][self.pair_at]
+        seen = np.maximum(pairs[self.pair_at] - DISCOUNT, 0.0)
+        base = (c + 0.1) / (total + 0.1 * (distinct + 1))
         before = np.maximum(before, 1.0)
         kept = np.minimum(mass / before, 0.98)
         seen = np.minimum(np.where(mass > 0, seen / before, 0.0), kept)
         return np.log10(seen + (1 - kept) * base)
 
 
-def build(kept: DataFrame, total: int, distinct: int, filter_bytes: int, bits_each: float = 1 / math.log(2)) -> LogFrequencyFilter:
-    """The filter of rows (kind, key, level); at most filter_bytes large."""
-    spark = kept.sparkSession
+def count_segments(kept: DataFrame, bits_each: float = 1 / math.log(2)) -> int:
+    """Segments of the filter of rows (kind, key, level)."""
     hashes = F.lit(HASHES) + (F.col("level") - 1) * MORE_HASHES
-    sizes = {(r.kind, r.level): r.h for r in kept.groupBy("kind", "level").agg(F.sum(hashes).alias("h")).collect()}  # kinds x levels rows
-    floor, room = 1, filter_bytes * 8
-    while sum(h for (k, lv), h in sizes.items() if lv >= floor or k == MASS) * bits_each > room and floor < len(LEVELS):
-        floor += 1
-    need = sum(h for (k, lv), h in sizes.items() if lv >= floor or k == MASS) * bits_each
-    segments = max(1, math.ceil(min(need, room) / SEGMENT_BITS))
-
-    def fill(batches):
-        made: dict[int, np.ndarray] = {}
-        for batch in batches:
-            seg = batch.column("seg").to_numpy()
-            key, level = batch.column("key").to_numpy().view(np.uint64), batch.column("level").to_numpy()
-            kind = batch.column("kind").to_numpy()
-            for k in np.unique(kind):
-                for q in range(1, int(level[kind == k].max()) + 1):
-                    own = (kind == k) & (level >= q)
-                    _, bit = probes(key[own], int(k), q, segments)
-                    whole, which = np.unique(seg[own], return_inverse=True)
-                    for i, s in enumerate(whole.tolist()):
-                        bits = made.setdefault(s, np.zeros(SEGMENT_BITS, bool))
-                        bits[bit[:, which == i].ravel().astype(np.int64)] = True
-        for s, bits in made.items():
-            yield emit(seg=pa.array([s], pa.int64()), bits=pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()))
+    return max(1, math.ceil((kept.agg(F.sum(hashes)).first()[0] or 0) * bits_each / SEGMENT_BITS))
+
+
+def fill(kept: DataFrame, segments: int) -> DataFrame:
+    """seg, bits: the segments that rows (kind, key, level) fill; one without any key is left out."""
 
     def place(batches):
         for batch in batches:
@@ -163,15 +174,102 @@ def build(kept: DataFrame, total: int, distinct: int, filter_bytes: int, bits_ea
                 seg[kind == k] = probes(key[kind == k], int(k), 1, segments)[0].astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(seg)], names=["kind", "key", "level", "seg"])
 
-    entering = kept.filter((F.col("level") >= floor) | (F.col("kind") == MASS)).select("kind", "key", "level")
-    tasks = max(1, min(segments, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    filled = entering.mapInArrow(place, "kind tinyint, key bigint, level int, seg bigint").repartition(tasks, "seg").mapInArrow(fill, "seg bigint, bits binary")
+    def made(seg, parts):
+        kind, key, level = (np.concatenate(c) for c in zip(*parts, strict=True))
+        bits = np.zeros(SEGMENT_BITS, bool)
+        for k in np.unique(kind):
+            own, upto, q = key[kind == k], level[kind == k], 1
+            while len(own):
+                bits[probes(own, int(k), q, segments)[1].ravel().astype(np.int64)] = True
+                q += 1
+                own, upto = own[upto >= q], upto[upto >= q]
+        return emit(seg=pa.array([seg], pa.int64()), bits=pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()))
+
+    def run(batches):
+        at, parts = -1, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seg, key = batch.column("seg").to_numpy(), batch.column("key").to_numpy().view(np.uint64)
+            kind, level = batch.column("kind").to_numpy(), batch.column("level").to_numpy()
+            cuts = [0, *(np.flatnonzero(seg[1:] != seg[:-1]) + 1).tolist(), len(seg)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if seg[a] != at and parts:
+                    yield made(at, parts)
+                    parts = []
+                at = int(seg[a])
+                parts.append((kind[a:b].copy(), key[a:b].copy(), level[a:b].copy()))
+        if parts:
+            yield made(at, parts)
+
+    placed = kept.select("kind", "key", "level").mapInArrow(place, "kind tinyint, key bigint, level int, seg bigint")
+    return placed.repartition(partitions(kept), "seg").sortWithinPartitions("seg").mapInArrow(run, "seg bigint, bits binary")
+
+
+def build(kept: DataFrame, total: int, distinct: int, filter_bytes: int) -> LogFrequencyFilter:
+    """The whole filter of a few rows (kind, key, level) in one piece; score() never gathers it."""
+    segments = count_segments(kept)
+    if segments * SEGMENT_BITS // 8 > filter_bytes:
+        raise ValueError("the filter is larger than one piece: score() has it in blocks")
     bits = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for row in filled.toLocalIterator():  # filter_bytes at most
-        bits[row.seg] |= np.frombuffer(row.bits, np.uint8)
+    for row in fill(kept, segments).toLocalIterator():  # filter_bytes at most
+        bits[row.seg] = np.frombuffer(row.bits, np.uint8)
     return LogFrequencyFilter(bits, total, distinct)
 
 
+def asked(rows: DataFrame, segments: int, each: int) -> DataFrame:
+    """Texts, each with its slice and place (block -1), and the slices' questions: a row for a block's next keys, with the
+    numbers of them that are words, and words or bigrams."""
+
+    def run(batches):
+        made = 0
+        for batch in batches:
+            for part in slices(batch):
+                own = (TaskContext.get().partitionId() << 32) + made
+                made += 1
+                n = part.num_rows
+                none = np.zeros(n, np.int64)
+                yield emit(slice=pa.array(none + own), block=pa.array(none - 1), at=pa.array(np.arange(n)), uni=pa.array(none), bi=pa.array(none), data=pa.nulls(n, pa.binary()), doc_id=part.column("doc_id"), text=part.column("text"))
+                q = Questions(*tokens(part.column("text")))
+                order, block = q.dealt(segments, each)
+                keys, kinds = q.keys[order], q.kinds[order]
+                cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+                spans = [(x, min(x + ASKED, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for x in range(a, b, ASKED)]
+                n, first = len(spans), [a for a, _ in spans]
+                yield emit(
+                    slice=pa.array([own] * n, pa.int64()), block=pa.array(block[first]), at=pa.array(first, pa.int64()), uni=pa.array([int((kinds[a:b] <= UNI).sum()) for a, b in spans], pa.int64()), bi=pa.array([int((kinds[a:b] <= BI).sum()) for a, b in spans], pa.int64()),
+                    data=pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()), doc_id=pa.nulls(n, pa.int64()), text=pa.nulls(n, pa.string()),
+                )
+
+    return rows.mapInArrow(run, "slice bigint, block bigint, at bigint, uni bigint, bi bigint, data binary, doc_id bigint, text string")
+
+
+def answered(questions: DataFrame, filled: DataFrame, segments: int, each: int) -> DataFrame:
+    """slice, at, data (levels) of the questions. Each block's segments come before what is asked of them."""
+
+    def run(batches):
+        at, own = -1, None
+        for batch in batches:
+            slice_, place, out = [], [], []
+            for block, what, s, a, uni, bi, data in zip(*(batch.column(c).to_pylist() for c in ("block", "what", "slice", "at", "uni", "bi")), batch.column("data"), strict=True):
+                if block != at:
+                    at, own = block, LogFrequencyFilter(np.zeros((min(each, segments - block * each), SEGMENT_BITS // 8), np.uint8), 0, 0, block * each, segments)
+                if what == 0:
+                    own.bits[a - own.first] = np.frombuffer(data.as_buffer(), np.uint8)
+                    continue
+                keys = np.frombuffer(data.as_buffer(), np.uint64)
+                found = np.concatenate([own.levels(k, kind) for k, kind in zip(np.split(keys, [uni, bi]), (UNI, BI, MASS), strict=True)])
+                slice_.append(s)
+                place.append(a)
+                out.append(found.tobytes())
+            yield emit(slice=pa.array(slice_, pa.int64()), at=pa.array(place, pa.int64()), data=pa.array(out, pa.binary()))
+
+    none = F.lit(0).cast("long")
+    bits = filled.select(F.floor(F.col("seg") / each).cast("long").alias("block"), F.lit(0).alias("what"), none.alias("slice"), F.col("seg").alias("at"), none.alias("uni"), none.alias("bi"), F.col("bits").alias("data"))
+    both = bits.union(questions.select("block", F.lit(1).alias("what"), "slice", "at", "uni", "bi", "data"))
+    return both.repartition(partitions(questions), "block").sortWithinPartitions("block", "what").mapInArrow(run, "slice bigint, at bigint, data binary")
+
+
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", least: int = 2, filter_bytes: int = 64 << 20, table_size: int = 1 << 17) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every document; `train` picks the training rows."""
     spark = docs.sparkSession
@@ -184,42 +282,73 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     mass = counted.filter(F.col("kind") == BI).groupBy(history.alias("key")).agg((F.sum("n") - DISCOUNT * F.count("*")).alias("s"))
     every = counted.select("kind", "key", F.col("n").cast("double").alias("n")).union(mass.select(F.lit(MASS).cast("tinyint"), "key", F.col("s").cast("double")))
     kept = store(levelled(every), "ngram-levels")
-    shared = spark.sparkContext.broadcast(build(kept, total, distinct, filter_bytes))
+    segments = count_segments(kept)
+    # several blocks a task, of filter_bytes at most
+    each = max(1, min(filter_bytes * 8 // SEGMENT_BITS, segments // (4 * partitions(rows))))
+    filled = store(fill(kept, segments), "segments")
     drop(kept)
+    sliced = store(asked(rows, segments, each), "slices")
+    texts = sliced.filter("block < 0").select("slice", F.lit(0).alias("what"), "at", "doc_id", "text", "data")
+    answers = store(answered(sliced.filter("block >= 0"), filled, segments, each), "answers")
+    drop(filled)
+    answers = answers.select("slice", F.lit(1).alias("what"), "at", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "data")
+    sorted_ = texts.union(answers).repartition(partitions(rows), "slice").sortWithinPartitions("slice", "what", "at")
     top = words.orderBy(F.desc("n"), "key").limit(table_size).toPandas()  # table_size rows at most
     order = np.argsort(top["key"].to_numpy())
     frequent = spark.sparkContext.broadcast((top["key"].to_numpy()[order], top["n"].to_numpy()[order]))
     size = total + 0.1 * (distinct + 1)
 
-    def run(batches):
-        keys, often = frequent.value
+    def whole_slices(batches):
+        """doc_id and text, and the levels of the questions, of one slice after another."""
+        at, texts, levels = None, [], []
         for batch in batches:
-            for part in slices(batch):
-                h, ends = tokens(part.column("text"))
-                who = doc_index(ends)
-                model = np.add.reduceat(shared.value.score(h, ends), ends[:-1])
-                signed = h.view(np.int64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, signed), len(keys) - 1)
-                    hit = keys[at] == signed
+            if not batch.num_rows:
+                continue
+            slice_, what = batch.column("slice").to_numpy(), batch.column("what").to_numpy()
+            cuts = [0, *(np.flatnonzero((slice_[1:] != slice_[:-1]) | (what[1:] != what[:-1])) + 1).tolist(), len(slice_)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if slice_[a] != at and texts:
+                    yield pa.Table.from_batches(texts).combine_chunks().to_batches()[0], np.concatenate(levels)
+                    texts, levels = [], []
+                at = slice_[a]
+                if what[a] == 0:
+                    texts.append(batch.slice(a, b - a).select(["doc_id", "text"]))
                 else:
-                    at, hit = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-                base = np.add.reduceat(np.where(hit, np.log10((often[at] + 0.1) / size) if len(keys) else 0.0, 0.0), ends[:-1])
-                known = np.add.reduceat(hit.astype(np.int64), ends[:-1])
-                # the others, once per document and word
-                rest = np.lexsort((signed[~hit], who[~hit]))
-                w, d = signed[~hit][rest], who[~hit][rest]
-                first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (d[1:] != d[:-1])])) if len(w) else np.zeros(0, np.int64)
-                times = np.diff(np.concatenate([first, [len(w)]]))
-                ids = part.column("doc_id")
-                docs_n, rare_n = len(ends) - 1, len(first)
-                # a head row has a random key and no occurrences, so heads spread over the join
-                yield emit(
-                    doc_id=pa.chunked_array([ids, ids.take(pa.array(d[first]))]).combine_chunks(), key=pa.array(np.concatenate([mix(np.arange(docs_n, dtype=np.uint64) + h[0]).view(np.int64), w[first]])), times=pa.array(np.concatenate([np.zeros(docs_n, np.int64), times])),
-                    n_tokens=pa.array(np.concatenate([np.diff(ends), np.zeros(rare_n, np.int64)])), n_known=pa.array(np.concatenate([known, np.zeros(rare_n, np.int64)])), base=pa.array(np.concatenate([base, np.zeros(rare_n)])), score=pa.array(np.concatenate([model, np.zeros(rare_n)])),
-                )
+                    levels += [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("data").slice(a, b - a)]
+        if texts:
+            yield pa.Table.from_batches(texts).combine_chunks().to_batches()[0], np.concatenate(levels)
 
-    parts = rows.mapInArrow(run, "doc_id bigint, key bigint, times bigint, n_tokens bigint, n_known bigint, base double, score double")
+    def run(batches):
+        keys, often = frequent.value
+        for part, levels in whole_slices(batches):
+            h, ends = tokens(part.column("text"))
+            who = doc_index(ends)
+            q = Questions(h, ends)
+            in_order = np.zeros(len(q.keys), np.uint16)
+            in_order[q.dealt(segments, each)[0]] = levels
+            model = np.add.reduceat(q.score(in_order, total, distinct), ends[:-1])
+            signed = h.view(np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, signed), len(keys) - 1)
+                hit = keys[at] == signed
+            else:
+                at, hit = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+            base = np.add.reduceat(np.where(hit, np.log10((often[at] + 0.1) / size) if len(keys) else 0.0, 0.0), ends[:-1])
+            known = np.add.reduceat(hit.astype(np.int64), ends[:-1])
+            # the others, once per document and word
+            rest = np.lexsort((signed[~hit], who[~hit]))
+            w, d = signed[~hit][rest], who[~hit][rest]
+            first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (d[1:] != d[:-1])])) if len(w) else np.zeros(0, np.int64)
+            times = np.diff(np.concatenate([first, [len(w)]]))
+            ids = part.column("doc_id")
+            docs_n, rare_n = len(ends) - 1, len(first)
+            # a head row has a random key and no occurrences, so heads spread over the join
+            yield emit(
+                doc_id=pa.chunked_array([ids, ids.take(pa.array(d[first]))]).combine_chunks(), key=pa.array(np.concatenate([mix(np.arange(docs_n, dtype=np.uint64) + h[0]).view(np.int64), w[first]])), times=pa.array(np.concatenate([np.zeros(docs_n, np.int64), times])),
+                n_tokens=pa.array(np.concatenate([np.diff(ends), np.zeros(rare_n, np.int64)])), n_known=pa.array(np.concatenate([known, np.zeros(rare_n, np.int64)])), base=pa.array(np.concatenate([base, np.zeros(rare_n)])), score=pa.array(np.concatenate([model, np.zeros(rare_n)])),
+            )
+
+    parts = sorted_.mapInArrow(run, "doc_id bigint, key bigint, times bigint, n_tokens bigint, n_known bigint, base double, score double")
     rare = parts.join(words.select("key", "n"), "key", "left")
     n = F.coalesce("n", F.lit(0))
     return rare.groupBy("doc_id").agg(

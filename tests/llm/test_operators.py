@@ -119,6 +119,20 @@ def test_filter_counts_are_close(spark):
     assert small.bits.nbytes <= 1 << 17
 
 
+def test_lm_scoring_keeps_every_ngram_past_filter_bytes(spark):
+    """Words seen once, in a filter of several segments, with blocks of one: their score must not be that of unseen ones."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(2000))) for i in range(120)]
+    rows.append((120, rows[0][1]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    wide = by_id(lm_scoring.score(docs, F.lit(True)))
+    small = by_id(lm_scoring.score(docs, F.lit(True), filter_bytes=1 << 17))
+    assert {i: r.score for i, r in small.items()} == pytest.approx({i: r.score for i, r in wide.items()}, rel=1e-9)
+    for i in range(1, 120):  # c = 1 for each word, no bigram kept
+        assert small[i].score == pytest.approx(small[i].base_score, rel=0.02)
+    assert small[0].score > 0.5 * small[0].base_score  # its bigrams are seen twice
+
+
 def test_slices_keep_all_words():
     texts = [t for _, t, *_ in ROWS] * 4
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
