@@ -15,8 +15,8 @@ document; its content hash covers all of its words. Then
 
 Every word covered by a repeated edge is removed, wherever it occurs. Windows are judged on the input. Null and empty
 texts have no words. Texts shorter than k words are kept whole. Repeated rows are copies of each other and lose what
-they share; rows with one doc_id and different texts are checked against their own text, so a span found in one of them
-never cuts another. An empty table gives no rows. Other columns are ignored. A hot passage is one content: it is counted
+they share. A row's key is the hash of its doc_id and text, so that a coordinate names one text also where rows share a
+doc_id or have none. An empty table gives no rows. Other columns are ignored. A hot passage is one content: it is counted
 with map-side combining, and its occurrences are joined with AQE's skew splitting, never gathered in one group.
 """
 
@@ -83,7 +83,7 @@ def span_digest(words: list[bytes], start: int, length: int) -> tuple[int, int]:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("key"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")).alias("key"), F.col(text_col).cast("string").alias("text"))
 
 
 def repeated_spans(docs: DataFrame, k: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -161,6 +161,15 @@ def test_substring_dedup(docs, empty, k):
     assert substring_dedup.remove(empty, k).count() == 0
 
 
+def test_substring_dedup_tells_rows_without_id_apart(spark):
+    rng = random.Random(4)
+    make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = make(60)
+    texts = [(i, make(n) + " " + passage + " " + make(20)) for i, n in [(None, 5), (None, 50), (None, 17), (7, 3), (7, 90), (8, 40)]] + [(None, make(50)), (None, make(3)), (7, make(70))]
+    rows = substring_dedup.remove(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3), 35).collect()
+    assert sorted(r.kept for r in rows) == sorted(" ".join(t.replace(passage, "").split()) for _, t in texts)
+
+
 def test_units_do_not_depend_on_chunks(monkeypatch):
     rng = np.random.default_rng(1)
     h, ends = rng.integers(0, 50, 4000).astype(np.uint64), np.array([0, 1500, 1520, 4000])
