@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockloom.llm import decontaminate, jaccard_join, language_id, packing, secrets
@@ -18,6 +18,11 @@ from blockloom.llm.queries import BYTE_BPE, vocabulary
 LEAST_COVER = 0.25
 
 
+def row_key() -> Column:
+    """What tells rows apart that share a doc_id or have none: a hash of doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some learned language; one that has no letter, or is in none of them, goes."""
     model = language_id.fit(docs, F.lit(True))
@@ -26,19 +31,26 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of linked documents."""
-    linked = jaccard_join.join(docs, percent=80, shingle=5)
-    kept = linked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("keep_id")).agg(F.count("*").alias("rows"))
-    kept = store(kept, "kept-ids")
-    out = docs.join(kept.select("keep_id"), docs.doc_id.cast("long").eqNullSafe(F.col("keep_id")), "left_semi")
-    # rows that repeat a doc_id are copies too
-    return out.dropDuplicates(["doc_id"]) if kept.filter("rows > 1").limit(1).count() else out
+    """The document with the smallest doc_id (one without only if all are) of each group of linked documents. Documents
+    without words are in no group and stay."""
+    keyed = docs.withColumn("row_key", row_key())
+    linked = jaccard_join.join(keyed, percent=80, shingle=5, id_col="row_key").filter("n_shingles > 0")
+    rows = linked.groupBy(F.col("doc_id").alias("row_key")).agg(F.first("component_id").alias("component_id"), F.count("*").alias("rows"))
+    ids = keyed.groupBy("row_key").agg(F.first(F.col("doc_id").cast("long")).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key", "rows")).alias("x")
+    kept = store(rows.join(ids, "row_key").groupBy("component_id").agg(first).select("x.row_key", "x.rows"), "kept-rows")
+    words = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    out = keyed.filter(words).join(kept.select("row_key"), "row_key", "left_semi")
+    if kept.filter("rows > 1").limit(1).count():  # rows that repeat doc_id and text
+        out = out.dropDuplicates(["row_key"])
+    return out.union(keyed.filter(~words).select(*out.columns)).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    hits = store(decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("hit_id")).distinct(), "hits")
-    return docs.join(hits, docs.doc_id.cast("long").eqNullSafe(F.col("hit_id")), "left_anti")
+    keyed = docs.withColumn("row_key", row_key())
+    hits = store(decontaminate.matches(keyed, table(spark, sf_dir, "benchmark"), id_col="row_key").select(F.col("doc_id").alias("row_key")).distinct(), "hits")
+    return keyed.join(hits, "row_key", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,24 @@ def test_stages(spark, planted):
     assert {r.doc_id for r in pieces} == set(text)
 
 
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    """Copies and contaminated rows go by row: others with their doc_id, or without one, stay."""
+    rng = random.Random(2)
+    text = lambda n: " ".join(f"w{rng.randrange(10**5)}" for _ in range(n))
+    bench = text(30)
+    spark.createDataFrame([(1, bench)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(i, text(80)) for i in (None, None, None, 5, 5, 6, 9)]
+    near = clean[5][1].rsplit(" ", 1)[0] + " altered"  # of the text of document 6
+    rows = [*clean, (None, near), (9, near), clean[0], (None, clean[4][1]), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], COLUMNS).repartition(3)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    order = lambda rows: sorted(rows, key=repr)
+    assert order((r.doc_id, r.text) for r in kept.collect()) == order([*clean, (None, None), (None, None)])
+    dirty = [(None, text(20) + " " + bench), (5, bench + " " + text(20))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in clean + dirty], COLUMNS).repartition(3)
+    assert order((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()) == order(clean)
+
+
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
