@@ -2,9 +2,10 @@
 
 Labelled credentials are the values that the fixed patterns match in a bounded, hash-drawn sample (`examples` of each
 kind). For each kind a frequency prefix tree over character classes is built and its statistically compatible states
-are merged (red-blue order, Hoeffding bound on stop and step frequencies). Every candidate (a maximal run of
-[A-Za-z0-9+/_.=-] of `least` characters or more, with a letter and a digit) is scored by its likelihood under the best
-automaton against a background model of ordinary runs; one that is `bits` more likely is a span of kind `learned`.
+are merged (red-blue order, Hoeffding bound on stop and step frequencies). Every candidate (what the base spans leave of
+a maximal run of [A-Za-z0-9+/_.=-], and its parts between separators, of LEAST characters or more) is scored by its
+likelihood under the best automaton against a background model of ordinary runs; one that is `bits` more likely is a
+span of kind `learned`.
 Spans of the fixed patterns always stay; a learned span never overlaps one.
 
 Null and empty texts have no spans; repeated rows get a row each; an empty table gives no rows; other columns are
@@ -30,6 +31,11 @@ KEYWORDS = ("passw", "secret", "token", "api_key", "apikey")
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: Candidates: the shortest is that of the assign pattern.
+LEAST = 6
+ANY_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+SEPARATES = re.compile(r"[=/._-]")
+PARTS = [re.compile(p) for p in (r"[A-Za-z0-9+/_.=-]+", r"[A-Za-z0-9+/_.-]+", r"[A-Za-z0-9+_.-]+", r"[A-Za-z0-9+_-]+", r"[A-Za-z0-9+-]+")]
 KINDS = ("assign", "access", "hex", "learned")
 CLASSES = ("abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/", "=", "_", ".", "-")
 SYMBOL = {c: chr(97 + i) for i, cls in enumerate(CLASSES) for c in cls}
@@ -139,6 +145,7 @@ class Model:
     def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], bits: float = 16.0):
         self.automata = {k: Automaton(v) for k, v in sorted(labelled.items()) if len(v) >= 10}
         self.background, self.bits = Background(ordinary), bits
+        self.seen: dict[str, float] = {}
 
     def score(self, run: str) -> float:
         """Bits by which the best automaton prefers a run to the background."""
@@ -146,6 +153,15 @@ class Model:
         best = max((a.bits(word) for a in self.automata.values()), default=-math.inf)
         return best - self.background.bits(word) if best > -math.inf else -math.inf
 
+    def known(self, run: str) -> float:
+        """score(run); those of the first runs met are remembered."""
+        out = self.seen.get(run)
+        if out is None:
+            out = self.score(run)
+            if len(self.seen) < 100_000:
+                self.seen[run] = out
+        return out
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns' matches, in order."""
@@ -162,15 +178,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def pieces(text: str, base: list[tuple[int, int, int]]):
+    """(start, end) of what the base spans leave of each run, LEAST characters or more."""
+    for run in ANY_RUN.finditer(text):
+        at, end = run.span()
+        for a, _, e in base:
+            if a < end and e > at:
+                if a - at >= LEAST:
+                    yield at, a
+                at = max(at, e)
+        if end - at >= LEAST:
+            yield at, end
+
+
+def candidates(text: str, a: int, b: int) -> set[tuple[int, int]]:
+    """A piece and its parts between more and more of the separators, without what separates at their ends."""
+    found, s = set(), text[a:b]
+    for cut in PARTS:
+        for m in cut.finditer(s):
+            x = m[0].lstrip("=.-_")
+            at, n = m.end() - len(x), len(x.rstrip("=.-_"))
+            if n >= LEAST:
+                found.add((a + at, a + at + n))
+    return found
+
+
 def learned_spans(text: str, base: list[tuple[int, int, int]], model: Model) -> list[tuple[int, int, int]]:
+    """The candidates that reach the model's bits; of overlapping ones the best."""
     out = []
-    for run in RUN.finditer(text):
-        s = run[0].strip("=.-_") if run[0][-1] in "=.-_" or run[0][0] in "=.-_" else run[0]
-        if len(s) < 16 or s.isalpha() or s.isdigit() or not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s):
-            continue
-        a = run.start() + run[0].index(s)
-        if all(e <= a or b >= a + len(s) for b, _, e in base) and model.score(s) >= model.bits:
-            out.append((a, 3, a + len(s)))
+    for a, b in pieces(text, base):
+        s = text[a:b]
+        spans = candidates(text, a, b) if SEPARATES.search(s) else ((a, b),)
+        good = [(model.known(text[x:y]), x, y) for x, y in spans]
+        kept: list[tuple[int, int]] = []
+        for bits, x, y in sorted(good, key=lambda g: (-g[0], g[1], -g[2])) if len(good) > 1 else good:
+            if bits >= model.bits and all(y <= u or v <= x for u, v in kept):
+                kept.append((x, y))
+        out += [(x, 3, y) for x, y in sorted(kept)]
     return out
 
 
@@ -193,11 +237,11 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_
                         seen[k] += 1
                         kinds.append(k)
                         values.append(ASSIGN.match(text, a)[2] if k == 0 else text[a:e])
-                for run in RUN.finditer(text):
-                    if seen[3] < 4 * examples and all(e <= run.start() or b >= run.end() for b, _, e in spans):
+                for a, b in pieces(text, spans):
+                    if seen[3] < 4 * examples:
                         seen[3] += 1
                         kinds.append(3)
-                        values.append(run[0])
+                        values.append(text[a:b].strip("=.-_") or text[a:b])
             yield emit(kind=pa.array(kinds, pa.int32()), value=pa.array(values, pa.string()))
 
     found = rows.mapInArrow(label, "kind int, value string").groupBy("kind", "value").agg(F.count("*").alias("n"))

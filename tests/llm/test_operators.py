@@ -294,6 +294,23 @@ def test_automata_find_the_format():
     assert len(model.automata["hex"].step) > 1
 
 
+def test_short_and_glued_credentials_are_scored():
+    rng = random.Random(6)
+    make = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    labelled = {"long": [make("ABCDEF0123456789", 32).translate(secrets.TO_CLASS) for _ in range(200)], "short": [make("GHIJKLMNOPQR", 10).translate(secrets.TO_CLASS) for _ in range(200)]}
+    model = secrets.Model(labelled, [make(lower, rng.randint(6, 14)).translate(secrets.TO_CLASS) for _ in range(1600)])
+    long, short = make("ABCDEF0123456789", 32), make("GHIJKLMNOPQR", 10)
+    for before in ("", "auth=", "aws_access=", "https://host.example/"):
+        for value in (long, short):
+            text = f"some ordinary words {before}{value} follow"
+            at = text.index(value)
+            assert secrets.learned_spans(text, [], model) == [(at, 3, at + len(value))]
+    text = "password=hunter2hunter2/" + long
+    assert secrets.learned_spans(text, [(0, 0, 23)], model) == [(24, 3, 24 + 32)]
+    assert secrets.learned_spans("nothing but ordinary sentences, internationalisation/of.things", [], model) == []
+
+
 def near_copies(rng, groups=6):
     rows, n = [], 0
     for g in range(groups):
