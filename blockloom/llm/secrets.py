@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and probabilistic automata learnt from the credentials these find.
 
-Labelled credentials are the values that the fixed patterns match in a bounded, hash-drawn sample (`examples` of each
-kind). For each kind a frequency prefix tree over character classes is built and its statistically compatible states
+Labelled credentials are the values that the fixed patterns match in all documents, of which a bounded number of distinct
+ones (`examples` of each kind) is drawn by hash. For each kind a frequency prefix tree over character classes is built and its statistically compatible states
 are merged (red-blue order, Hoeffding bound on stop and step frequencies). Every candidate (what the base spans leave of
 a maximal run of [A-Za-z0-9+/_.=-], and its parts between separators, of LEAST characters or more) is scored by its
 likelihood under the best automaton against a background model of ordinary runs; one that is `bits` more likely is a
@@ -20,8 +20,10 @@ import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from blockloom.llm.common import emit, ship, slices
 
@@ -219,37 +221,43 @@ def learned_spans(text: str, base: list[tuple[int, int, int]], model: Model) ->
 
 
 def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_docs: int = 20_000, examples: int = 400) -> Model:
-    """Learn the automata from a bounded sample of about `sample_docs` documents, `examples` credentials of a kind at most."""
+    """Learn the automata from the credentials in all documents: of each kind the `examples` distinct values with the
+    smallest hashes. The background is learned from runs in about `sample_docs` documents, four times as many."""
     ship(docs.sparkSession)
     n = docs.count()
-    rows = docs.filter(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_docs / max(n, 1)))).select(F.col(text_col).cast("string").alias("text"))
+    sampled = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_docs / max(n, 1)))
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), sampled.alias("sampled"))
+    most = [examples] * 3 + [4 * examples]
 
     def label(batches):
-        seen = Counter()
+        held: list[dict[str, int]] = [{} for _ in range(4)]  # value and hash, at most twice as many as are wanted
+
+        def add(kind, value):
+            own = held[kind]
+            if value not in own:
+                own[value] = xxhash.xxh3_64_intdigest(value, seed=kind) - (1 << 63)
+                if len(own) >= 2 * most[kind]:
+                    held[kind] = dict(sorted(own.items(), key=lambda x: (x[1], x[0]))[: most[kind]])
+
         for batch in batches:
-            kinds, values = [], []
-            for text in batch.column(0).to_pylist():
+            for text, ordinary in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not text:
                     continue
                 spans = base_spans(text)
                 for a, k, e in spans:
-                    if seen[k] < examples:
-                        seen[k] += 1
-                        kinds.append(k)
-                        values.append(ASSIGN.match(text, a)[2] if k == 0 else text[a:e])
-                for a, b in pieces(text, spans):
-                    if seen[3] < 4 * examples:
-                        seen[3] += 1
-                        kinds.append(3)
-                        values.append(text[a:b].strip("=.-_") or text[a:b])
-            yield emit(kind=pa.array(kinds, pa.int32()), value=pa.array(values, pa.string()))
-
-    found = rows.mapInArrow(label, "kind int, value string").groupBy("kind", "value").agg(F.count("*").alias("n"))
-    order = F.xxhash64("kind", "value")
+                    add(k, ASSIGN.match(text, a)[2] if k == 0 else text[a:e])
+                if ordinary:
+                    for a, b in pieces(text, spans):
+                        add(3, text[a:b].strip("=.-_") or text[a:b])
+        for k, own in enumerate(held):
+            yield emit(kind=pa.array([k] * len(own), pa.int32()), value=pa.array(list(own), pa.string()), h=pa.array(list(own.values()), pa.int64()))
+
+    found = rows.mapInArrow(label, "kind int, value string, h bigint").distinct()
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("h", "value"))
+    limit = F.when(F.col("kind") == 3, most[3]).otherwise(examples)
     by: dict[int, list[str]] = {k: [] for k in range(4)}
-    for k in range(4):
-        for r in found.filter(F.col("kind") == k).orderBy(order, "value").limit((4 if k == 3 else 1) * examples).collect():
-            by[k].append(r.value.translate(TO_CLASS))
+    for r in found.withColumn("place", place).filter(F.col("place") <= 4 * examples).filter(F.col("place") <= limit).orderBy("kind", "place").collect():  # 7 * examples at most
+        by[r.kind].append(r.value.translate(TO_CLASS))
     return Model({KINDS[k]: by[k] for k in range(3)}, by[3])
 
 

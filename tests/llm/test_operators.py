@@ -294,6 +294,16 @@ def test_automata_find_the_format():
     assert len(model.automata["hex"].step) > 1
 
 
+def test_automata_learn_from_all_documents(spark):
+    """A kind in few of many documents, behind many copies of one value."""
+    rng = random.Random(8)
+    keys = ["AKIA" + "".join(rng.choice("ABCDEFGHIJ0123456789") for _ in range(16)) for _ in range(40)]
+    texts = ["see " + keys[0]] * 600 + ["ordinary words of a document"] * 1400 + [f"see {k} there" for k in keys]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    model = secrets.fit(docs, sample_docs=50)
+    assert "access" in model.automata and model.automata["access"].total(0) == 40
+
+
 def test_short_and_glued_credentials_are_scored():
     rng = random.Random(6)
     make = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
