@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,10 +37,15 @@ def new_records(records: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def cosine_topk(table: DataFrame, queries: DataFrame, k: int, id_col: str = "block_id", vec_col: str = "embedding", limit: int = 100_000) -> DataFrame:
-    """query_id, id, score, rank: the k most similar rows of each query (query_id, query). The queries, a stated set of at
-    most `limit` rows, are broadcast in one block; best-of lists are cut on the map side before they meet."""
-    if queries.count() > limit:
-        raise ValueError(f"more than {limit} queries: search in blocks")
+    """query_id, id, score, rank: the k most similar rows of each query (query_id, query). The queries are
+    broadcast in blocks of about `limit` rows, drawn by hash of query_id; best-of lists are cut on the map side before they meet."""
+    blocks = max(1, math.ceil(queries.count() / limit))
+    own = F.coalesce(F.pmod(F.xxhash64("query_id"), F.lit(blocks)), F.lit(0))
+    parts = [queries.filter(own == i) for i in range(blocks)] if blocks > 1 else [queries]
+    return functools.reduce(DataFrame.union, (_topk(table, part, k, id_col, vec_col) for part in parts))
+
+
+def _topk(table: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
     dot = F.aggregate(F.zip_with(vec_col, "query", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
     norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     rows = table.select(F.col(id_col).alias("id"), vec_col, norm(F.col(vec_col)).alias("nx"))

@@ -96,6 +96,14 @@ def test_search(spark):
     assert [r.id for r in store.cosine_topk(table, asked, 2).orderBy("rank").collect()] == ["a", "c"]
 
 
+def test_cosine_in_blocks_of_queries(spark):
+    rows = [(i, [float((i * 7) % 11), float((i * 3) % 5), 1.0]) for i in range(40)]
+    table = spark.createDataFrame(rows, "block_id int, embedding array<float>")
+    asked = table.selectExpr("block_id as query_id", "embedding as query")
+    found = lambda **more: sorted(tuple(r) for r in store.cosine_topk(table, asked, 3, **more).collect())
+    assert len(found()) == 120 and found(limit=7) == found()
+
+
 def test_encodings_and_directories(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     for name, raw in {"a.md": "﻿# é\n".encode(), "b.markdown": "# é\n".encode("utf-16"), "c.md": "# 中文\n".encode("gbk"), "sub/d.md": b"# \xff\xfe\n", "E.MD": b"x", "f.txt": b"x"}.items():
