@@ -175,7 +175,7 @@ def token_estimate(spark, sf):
 
 
 def _turns(spark, sf):
-    turns = spark.read.parquet(f"{sf}/conversations.parquet").select(F.col("conv_id").cast("string").alias("file_path"), (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))).alias("block_seq"), F.col("turn").cast("string").alias("block_id"), T.token_estimate(F.coalesce("text", F.lit(""))).alias("tokens"))
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").select(F.col("conv_id").cast("string").alias("file_path"), (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))).alias("block_seq"), F.col("turn").cast("string").alias("block_id"), F.coalesce("text", F.lit("")).alias("text"), T.token_estimate(F.coalesce("text", F.lit(""))).alias("tokens"))
     return turns
 
 
@@ -191,7 +191,7 @@ def embed_status(spark, sf):
     turns = _turns(spark, sf)
     options = VectorOptions(dimension=64)
     numbered = requests.request_batches(turns)
-    rows_ = turns.join(numbered.drop("block_seq"), ["file_path", "block_id"]).select("file_path", "batch", "request", "block_seq", "block_id", F.concat(F.lit("turn "), "block_id").alias("text"), "tokens")
+    rows_ = turns.join(numbered.drop("block_seq"), ["file_path", "block_id"]).select("file_path", "batch", "request", "block_seq", "block_id", "text", "tokens")
     done = embed.embed(rows_, lambda: embed.HashedWords(64), options, tasks=8, limited=False)
     return embed.status(done, options).select("success", "failure", F.size("failed_ids").cast("long").alias("n_failed_ids"))
 

@@ -8,7 +8,7 @@ from blockloom import config
 from blockloom.config import ParserOptions, VectorOptions
 from blockloom.functions import text as T
 from blockloom.operators import augment, embed, folds, requests, store, tags
-from blockloom.plans import pipeline
+from blockloom.plans import catalog, pipeline
 from blockloom.sources.files import read_directory, read_files
 from blockloom.streaming.ingest import watch
 
@@ -104,6 +104,15 @@ def test_cosine_in_blocks_of_queries(spark):
     assert len(found()) == 120 and found(limit=7) == found()
 
 
+def test_embed_status_embeds_the_text_of_turns(spark, tmp_path, monkeypatch):
+    turns = [(1, 1, "u", "first words"), (1, 2, "a", None), (2, 1, "u", "others")]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    asked, whole = [], embed.embed
+    monkeypatch.setattr(embed, "embed", lambda rows, *a, **k: asked.extend(r.text for r in rows.collect()) or whole(rows, *a, **k))
+    assert tuple(catalog.embed_status(spark, str(tmp_path)).first()) == (3, 0, 0)
+    assert sorted(asked) == ["", "first words", "others"]
+
+
 def test_encodings_and_directories(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     for name, raw in {"a.md": "﻿# é\n".encode(), "b.markdown": "# é\n".encode("utf-16"), "c.md": "# 中文\n".encode("gbk"), "sub/d.md": b"# \xff\xfe\n", "E.MD": b"x", "f.txt": b"x"}.items():
