@@ -6,9 +6,10 @@ A row with a null doc_id is an ordinary document that belongs to no held-out fol
 
 from __future__ import annotations
 
+import gc
 import itertools
 import math
-import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from blockloom.runtime import ship as ship
 
 #: Text handled at once inside a Python worker; bounds the worker's memory for texts of ordinary length.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _count = itertools.count()
 
 
@@ -32,9 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The shared folder for cut lineage: spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; a
+    cluster's executors could not see one, so there it is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="blockloom-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
@@ -44,21 +48,29 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write df as a table in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:10]}-{next(_count)}"
-    spark._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of plans that nothing refers to any more
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
-def drop(*tables: DataFrame) -> None:
-    """Delete tables made by store() that nothing reads any more."""
+def drop(*tables: DataFrame, shuffles: bool = False) -> None:
+    """Delete tables made by store() that nothing reads any more. shuffles: also have the driver look for finished plans,
+    whose shuffle files Spark's cleaner then removes (a pause of the driver, for the ends of large steps)."""
     for t in tables:
         path = getattr(t, "_stored_at", None)
         if path:
             spark = t.sparkSession
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if shuffles:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells rows apart that share an id or have none: a hash of id and text. Rows with one key are copies of each other."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -84,7 +96,7 @@ def held_out(doc_id: str | Column, mod: int, rest: int) -> Column:
     return F.coalesce(fold(doc_id, mod) == rest, F.lit(False))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most about `most` bytes of text each (one row at least)."""
     n = batch.num_rows
     if not n:
@@ -151,3 +163,16 @@ def sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def emit(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))
+
+
+def dealt(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that brings equal buckets together (and keeps the order inside them), and (bucket, from, to) of each in it."""
+    order = np.argsort(bucket, kind="stable")
+    own = bucket[order]
+    cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)] if len(own) else [0]
+    return order, [(int(own[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def share(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the 64-bit range, cut into `parts` equal ones, that each key lies in."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)

@@ -6,8 +6,8 @@ trigram if its relative frequency there is at least `share` of the largest over
 mask with one bit per language; the AND of a trigram's slots is the mask of all languages containing it. Per text, the
 popcount of every language is corrected for that language's false-positive rate, and the largest decides.
 
-A text that is null or has no letter gives `und` and score 0. Ties go to the language first in sorted order. Repeated
-rows get a row each; an empty table, or one without training rows, gives no rows or only `und`. Other columns are ignored.
+A text that is null, empty or has no letter gives `und` and score 0. Ties go to the language first in sorted order. Long
+texts are judged by all of their trigrams. Repeated rows get a row each; an empty table, or one without training rows, gives no rows or only `und`. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from blockloom.llm.common import emit, mix, ship, slices
 
 HASHES = 3
+#: Bytes of text at a time; a character takes some 60 bytes while its trigrams are made.
+SLICE = 1 << 20
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -102,7 +104,7 @@ def fit(docs: DataFrame, train: Column, lang_col: str = "lang", text_col: str =
 
     def count(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE):
                 codes, ends, _ = trigrams(part.column("text"))
                 at = pc.index_in(part.column("lang"), value_set=pa.array(langs)).to_numpy(zero_copy_only=False)
                 who = np.repeat(at, np.diff(ends)).astype(np.int64)
@@ -132,18 +134,29 @@ def fit(docs: DataFrame, train: Column, lang_col: str = "lang", text_col: str =
     return LanguageFilter(langs, slots, np.minimum(false, 0.99))
 
 
-def predict(docs: DataFrame, model: LanguageFilter, *keep: str, text_col: str = "text") -> DataFrame:
-    """The columns `keep` of docs with lang_pred, score and lang_cover for every row."""
-    spark = docs.sparkSession
-    ship(spark)
-    shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*keep, *([] if text_col in keep else [text_col]))
-    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("lang_cover", DoubleType())])
+def _rows(docs: DataFrame, model: LanguageFilter, text_col: str, make, schema) -> DataFrame:
+    """make(part, languages, scores, covers) of every slice of docs, whose columns keep their places."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text_col):
-                lang, score, cover = shared.value.decide(part.column(text_col))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(cover)], names=[*part.schema.names, "lang_pred", "score", "lang_cover"])
+            for part in slices(batch, at, most=SLICE):
+                yield make(part, *shared.value.decide(part.column(at).cast(pa.string())))
+
+    return docs.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: LanguageFilter, *keep: str, text_col: str = "text") -> DataFrame:
+    """The columns `keep` of docs (none named like one of these), lang_pred, score and lang_cover for every row."""
+    rows = docs.select(*keep, *([] if text_col in keep else [text_col]))
+    schema = StructType([*rows.select(*keep).schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("lang_cover", DoubleType())])
+    make = lambda part, lang, score, cover: pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score), pa.array(cover)], names=schema.names)
+    return _rows(rows, model, text_col, make, schema)
+
 
-    return rows.mapInArrow(run, schema).select(*keep, "lang_pred", "score", "lang_cover")
+def keep(docs: DataFrame, model: LanguageFilter, least_cover: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs, as they are, that have a language with at least that share of their trigrams."""
+    make = lambda part, lang, _, cover: part.filter(pa.array((np.array(lang, object) != "und") & (cover >= least_cover), pa.bool_()))
+    return _rows(docs, model, text_col, make, docs.schema)

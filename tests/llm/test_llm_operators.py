@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, substring_dedup, token_counts
-from blockloom.llm.common import hash_words, held_out, slices, split_words
+from blockloom.llm.common import hash_words, held_out, row_key, slices, split_words
 from blockloom.llm.components import components
 from blockloom.llm.queries import BYTE_BPE, WORD_BPE, vocabulary
 from blockloom.llm.tokenizing import ByteIds, WordLengths, load
@@ -223,26 +223,79 @@ def test_quality_rules_use_no_python(docs):
 ITEMS = [(0, "passage3 passage4 PASSAGE5-passage6 passage7 passage8 passage9 passage10 passage11 passage12 passage13"), (1, "same same same"), (2, None), (3, ""), (4, "the the the"), (10, "tail words here"), (11, "中文字"), (12, "never anywhere")]
 
 
+TERM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def term_list(t):
+    return TERM.findall((t or "").translate(LOWER))
+
+
+def brute_hits(texts, items, size=10):
+    """For each row: its words, hit and item counts, the items' digest, contaminated."""
+    wins = [(i, w[s : s + size]) for i, t in items for w in [term_list(t)] if w for s in range(max(len(w) - size, 0) + 1)]
+    out = []
+    for key, t in texts:
+        w = term_list(t)
+        hits = [(i, s, len(g)) for i, g in wins for s in range(len(w) - len(g) + 1) if w[s : s + len(g)] == g]
+        ids = sorted({str(i) for i, _, _ in hits})
+        places = {p for _, s, n in hits for p in range(s, s + n)}
+        out.append((key, len(w), len(places), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(places)))
+    return sorted(out, key=repr)
+
+
+def hits_of(frame):
+    return sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in frame.collect()), key=repr)
+
+
 def test_decontamination(spark, docs, empty):
     bench = spark.createDataFrame([(*r, "clash") for r in ITEMS], "item_id bigint, text string, win string").repartition(3)
-    term = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-    split = lambda t: term.findall((t or "").translate(LOWER))
-    wins = [(i, w[s : s + 10]) for i, t in ITEMS for w in [split(t)] if w for s in range(max(len(w) - 10, 0) + 1)]
     for small in (1 << 20, 0):
-        got = decontaminate.summary(docs, bench, broadcast_terms=small).collect()
-        assert len(got) == len(ROWS)
-        for r in got:
-            if r.doc_id is None:
-                continue
-            w = split(UNIQUE[r.doc_id])
-            hits = [(i, s, len(g)) for i, g in wins for s in range(len(w) - len(g) + 1) if w[s : s + len(g)] == g]
-            items = sorted({str(i) for i, _, _ in hits})
-            places = {p for _, s, n in hits for p in range(s, s + n)}
-            assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (len(w), len(places), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(places)), r.doc_id
+        assert hits_of(decontaminate.summary(docs, bench, broadcast_bytes=small)) == brute_hits([(r[0], r[1]) for r in ROWS], ITEMS)
     assert decontaminate.summary(empty, bench).count() == 0
     assert not any(r.contaminated for r in decontaminate.summary(docs, bench.limit(0)).collect())
-    near = decontaminate.matches(docs, spark.createDataFrame([(1, "here tail words")], "item_id bigint, text string"), kind="proximity").collect()
-    assert {r.doc_id for r in near} >= {i for i, t in UNIQUE.items() if t.endswith("tail words here")}
+
+
+def test_decontamination_uses_no_python(spark, docs):
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    assert not re.search("Python|Pandas|Arrow", decontaminate.summary(docs.sparkSession.createDataFrame(docs.collect()[:9], docs.schema), bench)._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_decontamination_by_row(spark):
+    """Rows that share an id or have none, a repeated row, and id -1."""
+    rows = [(None, "clean"), (None, "x one two three y"), (5, "nothing here"), (5, "one two three"), (5, "one two three"), (-1, "two three one two three"), (None, None)]
+    bench = [(1, "one two three"), (1, "one two three"), (None, "y")]
+    got = hits_of(decontaminate.summary(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), spark.createDataFrame(bench, "item_id bigint, text string")))
+    found = {(r[0], r[1], r[2], r[5]) for r in got}
+    assert len(got) == len(rows) and found == {(None, 1, 0, False), (None, 5, 4, True), (5, 2, 0, False), (5, 3, 3, True), (-1, 5, 3, True), (None, 0, 0, False)}
+
+
+def test_decontamination_with_few_terms_and_a_hot_one(spark):
+    rng = random.Random(7)
+    word = lambda: rng.choice("aaaaaaab") if rng.random() < 0.9 else rng.choice("cd")
+    items = [(i, " ".join(word() for _ in range(rng.choice([2, 9, 10, 14, 30])))) for i in range(25)]
+    rows = [(i, " ".join(word() for _ in range(60))) for i in range(40)] + [(100 + i, " ".join(["a"] * 30 + [items[i][1]] + ["a"] * 20)) for i in range(25)]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), spark.createDataFrame(items, "item_id bigint, text string")
+    for size in (10, 4):
+        assert hits_of(decontaminate.summary(docs, bench, size)) == brute_hits(rows, items, size)
+
+
+def test_proximity(spark):
+    rng = random.Random(11)
+    items = [(1, "here tail words"), (2, "a b"), (3, "rare a a"), (4, "none of these")]
+    rows = [(i, " ".join(rng.choice(["here", "tail", "words", "a", "b", "x", "y", "rare"]) for _ in range(rng.randrange(40)))) for i in range(60)]
+    count = Counter(w for _, t in rows for w in term_list(t))
+    expected = set()
+    for d, t in rows:
+        w = term_list(t)
+        for i, item in items:
+            need = term_list(item)
+            if not all(count[x] for x in need):
+                continue
+            rarest = min(need, key=lambda x: (count[x], x))
+            expected |= {(t, i, p) for p, x in enumerate(w) if x == rarest and set(need) <= set(w[max(0, p - 9) : p + 10])}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    near = decontaminate.matches(docs, spark.createDataFrame(items, "item_id bigint, text string"), kind="proximity").join(docs.select(row_key().alias("key"), "text"), "key")
+    assert {(r.text, r.item_id, r.start) for r in near.collect()} == expected and expected
 
 
 def test_token_counts(docs, empty):
@@ -374,9 +427,10 @@ def test_linked_sets_share_a_signature(percent):
         b = np.concatenate([a[cut - new :], rng.integers(0, 1 << 63, new).astype(np.uint64)])
         a, b = np.unique(a), np.unique(b)
         both = len(np.intersect1d(a, b))
-        if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+        if len(b) and both < max(len(a), len(b)) and 100 * both >= percent * (len(a) + len(b) - both):
             linked += 1
-            assert set(jaccard_join.signatures(a, bands).tolist()) & set(jaccard_join.signatures(b, bands).tolist())
+            sig, who = jaccard_join.signatures([a, b], bands)
+            assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist())
             differ = sum(int(x).bit_count() for x in (jaccard_join.bitmap(a) ^ jaccard_join.bitmap(b)).view(np.uint64))
             assert differ <= len(a) + len(b) - 2 * both
     assert linked > 500
