@@ -11,55 +11,60 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockloom.llm import decontaminate, jaccard_join, language_id, packing, secrets
-from blockloom.llm.common import store, table
+from blockloom.llm.common import row_key, store, table
 from blockloom.llm.queries import BYTE_BPE, vocabulary
 
 #: A document is rejected if it has no letter, or if less than this share of its trigrams is in its best language.
 LEAST_COVER = 0.25
 
 
-def row_key() -> Column:
-    """What tells rows apart that share a doc_id or have none: a hash of doc_id and text."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def apart(docs: DataFrame, **more: Column) -> DataFrame:
+    """docs as one struct column `doc`, so that no column of it can clash with those that are added."""
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), *(c.alias(name) for name, c in more.items()))
+
+
+def together(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some learned language; one that has no letter, or is in none of them, goes."""
-    model = language_id.fit(docs, F.lit(True))
-    found = language_id.predict(docs, model, *docs.columns)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("lang_cover") >= LEAST_COVER)).select(*docs.columns)
+    """Documents in some learned language; one whose text is null, empty or has no letter, or is in none of them, goes. A row
+    is judged by its text alone, so repeated rows share their fate; ties of languages don't matter; a text of any length is
+    judged whole; an empty table stays empty; other columns, of any name, are passed on."""
+    return language_id.keep(docs, language_id.fit(docs, F.lit(True)), LEAST_COVER)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id (one without only if all are) of each group of linked documents. Documents
-    without words are in no group and stay."""
-    keyed = docs.withColumn("row_key", row_key())
-    linked = jaccard_join.join(keyed, percent=80, shingle=5, id_col="row_key").filter("n_shingles > 0")
-    rows = linked.groupBy(F.col("doc_id").alias("row_key")).agg(F.first("component_id").alias("component_id"), F.count("*").alias("rows"))
-    ids = keyed.groupBy("row_key").agg(F.first(F.col("doc_id").cast("long")).alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key", "rows")).alias("x")
-    kept = store(rows.join(ids, "row_key").groupBy("component_id").agg(first).select("x.row_key", "x.rows"), "kept-rows")
-    words = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    out = keyed.filter(words).join(kept.select("row_key"), "row_key", "left_semi")
-    if kept.filter("rows > 1").limit(1).count():  # rows that repeat doc_id and text
-        out = out.dropDuplicates(["row_key"])
-    return out.union(keyed.filter(~words).select(*out.columns)).select(*docs.columns)
+    """One row of each group of linked documents: the one with the smallest doc_id, of several the one with the smallest hash
+    of id and text; one without an id only if all have none. Rows that repeat id and text are one. Rows without words (null
+    and empty texts too) are in no group and stay, all of them. Long texts are compared whole. An empty table stays empty."""
+    linked = jaccard_join.join(docs, percent=80, shingle=5).filter("n_shingles > 0")
+    many = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("x")
+    each = linked.groupBy("root", many).agg(F.count("*").alias("n")).groupBy("root").agg(F.min(F.struct("x", "n")).alias("y"))
+    kept = store(each.select(F.col("y.x.key").alias("key"), F.col("y.n").alias("n")), "kept-rows")
+    rows = apart(docs, key=row_key(), words=F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    out = rows.filter("words").join(kept.select("key"), "key", "left_semi")
+    if kept.filter("n > 1").limit(1).count():  # rows that repeat doc_id and text
+        out = out.dropDuplicates(["key"])
+    return together(out.select("doc").union(rows.filter("not words").select("doc")), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
-    keyed = docs.withColumn("row_key", row_key())
-    hits = store(decontaminate.matches(keyed, table(spark, sf_dir, "benchmark"), id_col="row_key").select(F.col("doc_id").alias("row_key")).distinct(), "hits")
-    return keyed.join(hits, "row_key", "left_anti").select(*docs.columns)
+    """Documents without any window of a benchmark item. A row goes for its own text only: others with its doc_id, or without
+    one, stay; repeated rows share their fate. Null and empty texts have no words and stay. Without items all rows stay."""
+    hits = store(decontaminate.matches(docs, table(spark, sf_dir, "benchmark")).select("key").distinct(), "hits")
+    return together(apart(docs, key=row_key()).join(hits, "key", "left_anti"), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark."""
+    """All rows, with secrets replaced by a mark and n_chars, where there is such a column, counted anew. Null and empty texts
+    stay as they are; of overlapping spans the first is marked and the rest joined to it; long texts are scanned whole."""
     clean = secrets.redact(docs, secrets.fit(docs))
-    return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all rows; a null or empty text is its end id. See packing for ties, repeated rows and long texts."""
     return packing.pack(docs, vocabulary(BYTE_BPE), length=1024)
 
 
