@@ -21,13 +21,24 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.runtime import ship as ship
+from blockloom import runtime
 
 #: Text handled at once inside a Python worker; bounds the worker's memory for texts of ordinary length.
 SLICE_BYTES = 2 << 20
 _count = itertools.count()
 
 
+#: The setting that bounds an Arrow batch on its way to a Python worker, Spark's default, and what the operators ask for.
+BATCH_BYTES, BATCH_DEFAULT, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, "4m"
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in Python workers; where the session has Spark's default there, bound Arrow batches to 4 MB."""
+    runtime.ship(spark)
+    if spark.conf.get(BATCH_BYTES).removesuffix("b") == str(BATCH_DEFAULT):
+        spark.conf.set(BATCH_BYTES, BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -83,51 +83,61 @@ def lowered(text):
 
 
 def test_lm_scoring(docs, empty):
-    got = by_id(lm_scoring.score(docs, ~held_out("doc_id", 10, 0)))
+    got = lm_scoring.score(docs, ~held_out("doc_id", 10, 0)).collect()
     rows = [(i, lowered(t or "") + [None]) for i, t, *_ in ROWS]
     count = Counter(w for i, ws in rows if i is None or zlib.crc32(str(i).encode()) % 10 for w in ws)
     total, distinct = sum(count.values()), len(count)
-    expected = {}
-    for i, ws in rows:
-        n, known, base = expected.get(i, (0, 0, 0.0))
-        expected[i] = n + len(ws), known + sum(count[w] > 0 for w in ws), base + sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in ws)
-    assert set(got) == set(expected)
-    for i, (n, known, base) in expected.items():
-        r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
-        assert r.base_score == pytest.approx(base, rel=1e-9)
-        assert r.score < 0 and math.isfinite(r.score)
-    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
+    base = lambda ws: sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in ws)
+    expected = sorted([(i, len(ws), sum(count[w] > 0 for w in ws), total, base(ws)) for i, ws in rows], key=repr)
+    found = sorted([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got], key=repr)
+    assert [x[:4] for x in found] == [x[:4] for x in expected] and [x[4] for x in found] == pytest.approx([x[4] for x in expected], rel=1e-9)
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
     assert lm_scoring.score(empty, ~held_out("doc_id", 10, 0)).count() == 0
 
 
-def test_lm_scoring_joins_words_beyond_the_table(docs):
-    all_, few = (by_id(lm_scoring.score(docs, F.lit(True), table_size=n)) for n in (1 << 17, 3))
-    for i, r in all_.items():
-        assert few[i].n_known == r.n_known and few[i].base_score == pytest.approx(r.base_score, rel=1e-9)
+def test_lm_scoring_by_row(spark):
+    """Rows without an id, or that share one, are scored for themselves; the score is that of the smoothed model."""
+    rows = [(None, "a b c"), (None, "x y"), (7, "a b c a b c"), (7, None), (-1, "a b"), (-1, "a b")]
+    got = lm_scoring.score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), F.lit(True)).collect()
+    texts = [(t or "").split() + ["END"] for _, t in rows]
+    count, pair = Counter(w for ws in texts for w in ws), Counter(p for ws in texts for p in zip(["END", *ws], ws, strict=False))
+    n, v = sum(count.values()), len(count)
+
+    def p(before, w):
+        mass = sum(c - 0.75 for (x, _), c in pair.items() if x == before and c >= 2)
+        mass = lm_scoring.VALUES[lm_scoring.levels_of(np.array([mass]))[0]] if mass else 0.0
+        kept = min(mass / count[before], 0.98)
+        seen = min(max(pair[before, w] - 0.75, 0) / count[before], kept) if mass and pair[before, w] >= 2 else 0.0
+        return math.log10(seen + (1 - kept) * (count[w] + 0.1) / (n + 0.1 * (v + 1)))
+
+    expected = sorted([(str(i), len(ws), sum(p(x, w) for x, w in zip(["END", *ws], ws, strict=False))) for (i, _), ws in zip(rows, texts, strict=True)])
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in got)
+    assert [x[:2] for x in found] == [x[:2] for x in expected] and [x[2] for x in found] == pytest.approx([x[2] for x in expected], rel=1e-9)
 
 
 def test_filter_counts_are_close(spark):
     rng = np.random.default_rng(0)
     keys, n = rng.integers(0, 1 << 63, 3000).astype(np.uint64), rng.integers(1, 5000, 3000)
-    rows = spark.createDataFrame([(1, int(k), float(c)) for k, c in zip(keys, n, strict=True)], "kind tinyint, key bigint, n double")
-    f = lm_scoring.build(lm_scoring.levelled(rows), 1, 1, 64 << 20)
+    batches = lm_scoring.packed(lm_scoring.UNI, 4, keys, n.astype(np.float64)).to_pylist()
+    rows = spark.createDataFrame([(r["kind"], r["bucket"], r["n"], bytearray(r["data"])) for r in batches], lm_scoring.PACKED)
+    _, distinct, bits = lm_scoring.summed(rows)
+    f = lm_scoring.gathered(lm_scoring.fill(rows, 4, -(-bits // 4 // lm_scoring.SEGMENT_BITS)), 4 * -(-bits // 4 // lm_scoring.SEGMENT_BITS))
     got = f.ask(keys, 1)
-    assert (got >= n * 0.85).all() and np.mean(np.abs(got - n) <= 0.2 * n) > 0.85
+    assert distinct == 3000 and (got >= n * 0.85).all() and np.mean(np.abs(got - n) <= 0.2 * n) > 0.85
     assert np.mean(f.ask(rng.integers(0, 1 << 63, 3000).astype(np.uint64), 1) > 0) < 0.02
-    small = lm_scoring.build(lm_scoring.levelled(rows), 1, 1, 1 << 17)
-    assert small.bits.nbytes <= 1 << 17
 
 
-def test_lm_scoring_keeps_every_ngram_past_filter_bytes(spark):
-    """Words seen once, in a filter of several segments, with blocks of one: their score must not be that of unseen ones."""
+def test_lm_scoring_is_the_same_by_blocks(spark):
+    """A filter that stays on the executors, words beyond the broadcast table: the same scores as with both broadcast."""
     rng = random.Random(3)
     rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(2000))) for i in range(120)]
     rows.append((120, rows[0][1]))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     wide = by_id(lm_scoring.score(docs, F.lit(True)))
-    small = by_id(lm_scoring.score(docs, F.lit(True), filter_bytes=1 << 17))
-    assert {i: r.score for i, r in small.items()} == pytest.approx({i: r.score for i, r in wide.items()}, rel=1e-9)
+    small = by_id(lm_scoring.score(docs, F.lit(True), filter_bytes=1 << 17, table_size=3, groups=2))
+    for what in ("score", "base_score", "n_known"):
+        assert {i: r[what] for i, r in small.items()} == pytest.approx({i: r[what] for i, r in wide.items()}, rel=1e-9)
     for i in range(1, 120):  # c = 1 for each word, no bigram kept
         assert small[i].score == pytest.approx(small[i].base_score, rel=0.02)
     assert small[0].score > 0.5 * small[0].base_score  # its bigrams are seen twice
