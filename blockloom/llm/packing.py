@@ -1,11 +1,14 @@
 """Packing along a space-filling curve.
 
-Each document's words are hashed and projected to `DIMS` signs sums (its position), the position's Hilbert key orders
-the documents, a range sort by (key, doc_id) deals them into partitions, and each partition cuts its stream of ids
-into sequences of `length`. What is left at a partition's end is cut at powers of two, which need no padding.
-
-A null or empty text is one end id. Repeated rows are packed each. An empty table gives no rows. Equal keys are
-separated by doc_id, so that a large group of copies spreads over partitions. Other columns are ignored.
+Each document's words are hashed and projected to `DIMS` sign sums, divided by the root of their number (its position, whose
+spread so does not depend on the length), and the position's Hilbert key orders the documents. Documents are moved in parts
+of at most `length` ids, so that the ranges of the sort by (key, row, part) have about as many bytes as each other, and
+each partition cuts its stream of ids into sequences of `length`. What is left at a partition's end is cut at powers of
+two, which need no padding.
+
+A null or empty text is one end id. Repeated rows are packed each, as are rows that share a doc_id or have none. An empty
+table gives no rows. Very long texts are parts like others. Equal keys are separated by a hash of id and text, so that a
+large group of copies spreads over partitions; rows that repeat both may meet in any order. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -14,11 +17,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import emit, hash_words, partitions, ship, slices, split_words, store, sums
+from blockloom.llm.common import emit, hash_words, partitions, row_key, ship, slices, split_words, store, sums
 from blockloom.llm.tokenizing import ByteIds
 
 DIMS, BITS = 3, 16
@@ -54,11 +58,11 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 def positions(text: pa.Array) -> np.ndarray:
     """Coordinates of each text: DIMS random sign sums over its words' hashes, scaled to the cell grid."""
     flat, ends = split_words(text, lower=True)
-    h, n = hash_words(flat), np.maximum(np.diff(ends), 1)
+    h, n = hash_words(flat), np.sqrt(np.maximum(np.diff(ends), 1))
     at = np.empty((len(ends) - 1, DIMS), np.int64)
     for j in range(DIMS):
         sign = ((h >> np.uint64(7 * j)) & np.uint64(1)).astype(np.int64) * 2 - 1
-        at[:, j] = (np.clip(sums(sign, ends) / n * 2, -1, 1) + 1) / 2 * ((1 << BITS) - 1)
+        at[:, j] = (np.tanh(sums(sign, ends) / n * 0.8) + 1) / 2 * ((1 << BITS) - 1)
     return at
 
 
@@ -83,20 +87,31 @@ def cut(parts: list[tuple], length: int):
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 1024, end_id: int = 0) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, hilbert_key."""
     ship(docs.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+    wide = 2 if ByteIds(path).tok.get_vocab_size() <= 65536 else 4
 
     def encode(batches):
         ids = ByteIds(path)
+        end = np.array([end_id], f"<u{wide}").tobytes()
         for batch in batches:
-            for part in slices(batch, most=2 << 20):
+            for part in slices(batch):
                 key = hilbert_key(positions(part.column("text"))).astype(np.int64)
-                coded = [(np.frombuffer(ids.encode(t or ""), "<u4")).astype("<u2" if ids.tok.get_vocab_size() <= 65536 else "<u4").tobytes() for t in part.column("text").to_pylist()]
-                yield emit(doc_id=part.column("doc_id"), key=pa.array(key), ids=pa.array(coded, pa.binary()))
-
-    wide = 2 if ByteIds(path).tok.get_vocab_size() <= 65536 else 4
-    coded = store(rows.mapInArrow(encode, "doc_id bigint, key bigint, ids binary"), "pack-ids")
-    ordered = coded.repartitionByRange(partitions(coded, 16 << 20), "key", "doc_id").sortWithinPartitions("key", "doc_id")
+                coded = [ids.encode(t or "") for t in part.column("text").to_pylist()]
+                if wide == 2:  # the end ids join all texts' ids to one array, of which each text has its share
+                    size = [len(c) // 4 for c in coded]
+                    narrow = np.frombuffer(b"".join(coded), "<u4").astype("<u2").tobytes()
+                    cuts = np.concatenate([[0], np.cumsum(size)]) * 2
+                    coded = [narrow[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                coded = [c + end for c in coded]
+                cut = [(i, at) for i, c in enumerate(coded) for at in range(0, len(c), wide * length)]
+                who = pa.array([i for i, _ in cut], pa.int64())
+                yield emit(
+                    doc_id=part.column("doc_id").take(who), row=part.column("row").take(who), key=pa.array(key).take(who), start=pa.array([at // wide for _, at in cut], pa.int64()),
+                    n=pa.array([len(coded[i]) // wide for i, _ in cut], pa.int64()), ids=pa.array([coded[i][at : at + wide * length] for i, at in cut], pa.binary()),
+                )
+
+    coded = store(rows.mapInArrow(encode, "doc_id bigint, row bigint, key bigint, start bigint, n bigint, ids binary"), "pack-ids")
+    ordered = coded.repartitionByRange(partitions(coded, 16 << 20), "key", "row", "start").sortWithinPartitions("key", "row", "start")
 
     def lay(batches):
         ctx = TaskContext.get()
@@ -120,13 +135,16 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
         for batch in batches:
             out: list[tuple] = []
-            for doc, key, ids in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), batch.column("ids"), strict=True):
-                raw = np.frombuffer(ids.as_buffer(), f"<u{wide}").astype("<u4").tobytes() + end
-                n, start = len(raw) // 4, 0
-                while start < n:
-                    k = min(length - fill, n - start)
-                    open_parts.append(((doc, key), start, raw[4 * start : 4 * (start + k)], n))
-                    start, fill = start + k, fill + k
+            ids = batch.column("ids")
+            size = pc.binary_length(ids).to_numpy() // wide
+            raw = np.frombuffer(b"".join(x.as_buffer() for x in ids), f"<u{wide}").astype("<u4").tobytes()
+            at = 0
+            for doc, key, first, n, many in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "start", "n")), size.tolist(), strict=True):
+                taken = 0
+                while taken < many:
+                    k = min(length - fill, many - taken)
+                    open_parts.append(((doc, key), first + taken, raw[at : at + 4 * k], n))
+                    taken, fill, at = taken + k, fill + k, at + 4 * k
                     if fill == length:
                         close(open_parts, out)
                         open_parts, fill = [], 0

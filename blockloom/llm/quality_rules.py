@@ -1,11 +1,15 @@
 """Quality rules as weak supervision, with DataFrame functions only.
 
 Every rule votes good (1), bad (-1) or abstains (0) on a document's statistics. Expectation-maximisation over the table
-of vote patterns (at most 3**rules rows, whatever the input) estimates each rule's vote rates among good and bad
-documents, and the posterior probability of "good" replaces the test that all rules pass.
-
-Words are runs of anything but U+0020 and U+0009..U+000D. A null text has no words and fails the base test. Repeated
-rows get a row each; an empty table gives no rows; other columns are ignored. Texts are handled whole: repeated 5-word
+of vote patterns (at most 3**rules rows, whatever the input) estimates how accurate each rule's votes are on good and on bad
+documents, and the posterior probability of "good" replaces the test that all rules pass. A rule that abstains says nothing;
+votes for "good" count as votes do, so a single weak bad vote can be outvoted. Accuracies start from, and are pulled to, a
+prior that 97 of 100 votes on good documents say so, and three of ten on bad ones; the prior weighs as much as
+`PULL` of the documents, at every size.
+
+Words are runs of anything but U+0020 and U+0009..U+000D. A null or empty text has no words and fails the base test.
+Repeated rows get a row each; documents with the same votes have the same posterior, and one of exactly the threshold is
+kept; an empty table gives no rows; other columns are ignored. Texts of any length are handled whole: repeated 5-word
 windows are found by sorting a document's window hashes inside its own row, so nothing is shuffled.
 """
 
@@ -61,6 +65,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.regexp_count("t", F.lit("[A-Z]")).cast("long").alias("n_capitals"),
         F.regexp_count("t", F.lit("[0-9]")).cast("long").alias("n_digits"),
         F.regexp_count("t", F.lit("[.!?]")).cast("long").alias("n_stops"),
+        F.size(F.filter("words", lambda w: w.rlike(r"[A-Za-z\x{80}-\x{10FFFF}]"))).cast("long").alias("n_lettered"),
     ).withColumns({"n_dup_lines": F.col("lines.dup"), "n_lines": F.col("lines.n")}).drop("lines")
 
 
@@ -75,6 +80,8 @@ def votes() -> dict[str, Column]:
         "v_length": _vote(n < 10, n >= 40),
         "v_word_length": _vote((chars < 2.5 * n) | (chars > 14 * n), (chars >= 3 * n) & (chars <= 10 * n)),
         "v_symbols": _vote(100 * F.col("n_symbols") > 20 * n, 100 * F.col("n_symbols") <= 5 * n),
+        "v_marks": _vote(100 * F.col("n_symbols") > 3 * chars, 100 * F.col("n_symbols") <= chars),
+        "v_lettered": _vote(100 * F.col("n_lettered") < 60 * n, 100 * F.col("n_lettered") >= 95 * n),
         "v_lines": _vote(100 * F.col("n_dup_lines") > 30 * F.col("n_lines"), (F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0)),
         "v_repeats": _vote(100 * F.col("n_repeat_words") > 20 * n, 100 * F.col("n_repeat_words") <= 5 * n),
         "v_capitals": _vote(100 * F.col("n_capitals") > 40 * chars, 100 * F.col("n_capitals") <= 12 * chars),
@@ -83,49 +90,57 @@ def votes() -> dict[str, Column]:
     }
 
 
+#: Share of good documents and rates of bad votes, among bad and good documents, that the estimates start from; how many
+#: documents (as a share of all) the prior counts for.
+GOOD, BAD_VOTES, PULL = 0.8, (0.3, 0.03), 0.1
+
+
+def log_odds(prior: Column, vote, rate, rules: int) -> Column:
+    """Log odds of "good": vote(j) is -1, 0 or 1, rate(j, y) the share of bad ones among rule j's votes on class y."""
+    def add(a: Column, j: Column) -> Column:
+        bad, good = rate(j, 0), rate(j, 1)
+        return a + F.when(vote(j) == -1, F.log(good / bad)).when(vote(j) == 1, F.log((1 - good) / (1 - bad))).otherwise(0.0)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(rules - 1)), F.log(prior / (1 - prior)), add)
+
+
 def posterior(rates: dict[tuple[str, int], float], prior: float, names: list[str]) -> Column:
-    """P(good | votes); rates: (rule, class) -> probability of a bad vote. Good votes and abstentions count alike."""
+    """P(good | votes); rates: (rule, class) -> share of bad ones among its votes there. Abstentions don't count."""
     odds = F.lit(math.log(prior / (1 - prior)))
     for j in names:
         bad, good = rates[j, 0], rates[j, 1]
-        odds = odds + F.when(F.col(j) == -1, math.log(good / bad)).otherwise(math.log((1 - good) / (1 - bad)))
+        odds = odds + F.when(F.col(j) == -1, math.log(good / bad)).when(F.col(j) == 1, math.log((1 - good) / (1 - bad))).otherwise(0.0)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def fit(voted: DataFrame, names: list[str], rounds: int = 20) -> tuple[dict[tuple[str, int], float], float]:
-    """EM over the vote patterns: each rule's rate of bad votes in each class, and the share of good documents.
+def fit(voted: DataFrame, names: list[str], rounds: int = 30) -> tuple[dict[tuple[str, int], float], float]:
+    """EM over the vote patterns: for each rule and class the share of bad ones among its votes, and the share of good documents.
 
     The patterns (3**rules at most) are one array in one row, and the rounds one fold over it. The state is the share of
-    good documents and an array of rates, rule by rule, bad class before good. Rules are taken to be better than chance:
-    a rule hits a tenth of the bad documents at least, and one in five hundred good ones at most. None is taken to hit more
-    than four tenths of the bad ones: bad documents are bad for different causes, and rules that share one would otherwise
-    make that cause the class.
+    good documents and an array of rates, rule by rule, bad class before good.
     """
     rules = len(names)
-    state = F.struct(F.lit(0.8).alias("prior"), F.array(*(F.lit(p) for _ in names for p in (0.25, 0.003))).alias("r"))
+    state = F.struct(F.lit(GOOD).alias("prior"), F.array(*(F.lit(p) for _ in names for p in BAD_VOTES)).alias("r"))
     pattern = F.struct(F.col("n").cast("double").alias("n"), F.array(*names).alias("v"))
     one = voted.groupBy(*names).agg(F.count("*").alias("n")).agg(F.collect_list(pattern).alias("seen"))
     zero = F.lit(0.0)
 
     def good(p: Column, s: Column) -> Column:
-        rate = lambda j, y: F.get(s["r"], j * 2 + y)
-        odds = F.aggregate(
-            F.sequence(F.lit(0), F.lit(rules - 1)), F.log(s["prior"] / (1 - s["prior"])),
-            lambda a, j: a + F.when(F.get(p["v"], j) == -1, F.log(rate(j, 1) / rate(j, 0))).otherwise(F.log((1 - rate(j, 1)) / (1 - rate(j, 0)))),
-        )
-        return 1 / (1 + F.exp(-odds))
+        return 1 / (1 + F.exp(-log_odds(s["prior"], lambda j: F.get(p["v"], j), lambda j, y: F.get(s["r"], j * 2 + y), rules)))
 
     def again(w: Column) -> Column:
-        total = lambda c: F.aggregate(w, zero, lambda a, x: a + x[c])
+        total = lambda of: F.aggregate(w, zero, lambda a, x: a + of(x))
 
         def rate(t: Column, k: Column) -> Column:
             j, y = F.floor(k / 2).cast("int"), k % 2
-            had = F.aggregate(w, zero, lambda a, x: a + F.when(F.get(x["v"], j) == -1, F.when(y == 1, x["g"]).otherwise(x["b"])).otherwise(zero))
-            pulled = (had + F.when(y == 1, 0.006).otherwise(0.5)) / (F.when(y == 1, t["g"]).otherwise(t["b"]) + 2)
-            return F.greatest(F.when(y == 1, 1e-4).otherwise(0.1), F.least(F.when(y == 1, 0.002).otherwise(0.4), pulled))
+            mine = lambda x: F.when(y == 1, x["g"]).otherwise(x["b"])
+            bad = total(lambda x: F.when(F.get(x["v"], j) == -1, mine(x)).otherwise(zero))
+            cast = total(lambda x: F.when(F.get(x["v"], j) != 0, mine(x)).otherwise(zero))
+            pull = PULL * (t["g"] + t["b"]) + 1
+            return (bad + pull * F.when(y == 1, BAD_VOTES[1]).otherwise(BAD_VOTES[0])) / (cast + pull)
 
-        prior = lambda t: F.greatest(F.lit(0.05), F.least(F.lit(0.99), (t["g"] + 8) / (t["g"] + t["b"] + 10)))
-        return let(F.struct(total("g").alias("g"), total("b").alias("b")), lambda t: F.struct(prior(t).alias("prior"), F.transform(F.sequence(F.lit(0), F.lit(2 * rules - 1)), lambda k: rate(t, k)).alias("r")))
+        prior = lambda t: (t["g"] + GOOD * (PULL * (t["g"] + t["b"]) + 1)) / ((1 + PULL) * (t["g"] + t["b"]) + 1)
+        return let(F.struct(total(lambda x: x["g"]).alias("g"), total(lambda x: x["b"]).alias("b")), lambda t: F.struct(prior(t).alias("prior"), F.transform(F.sequence(F.lit(0), F.lit(2 * rules - 1)), lambda k: rate(t, k)).alias("r")))
 
     def step(s: Column, _: Column) -> Column:
         weigh = lambda p: let(good(p, s), lambda q: F.struct(p["v"].alias("v"), (p["n"] * q).alias("g"), (p["n"] * (1 - q)).alias("b")))
@@ -135,7 +150,7 @@ def fit(voted: DataFrame, names: list[str], rounds: int = 20) -> tuple[dict[tupl
     return {(j, y): out["r"][2 * i + y] for i, j in enumerate(names) for y in (0, 1)}, out["prior"]
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 20, threshold: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 30, threshold: float = 0.5) -> DataFrame:
     """doc_id, the base counts, base_failed, every rule's vote, quality (posterior) and kept, for every row."""
     rules = votes()
     voted = store(statistics(docs, id_col, text_col), "quality-statistics").withColumns(rules)

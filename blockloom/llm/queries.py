@@ -66,11 +66,49 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), length=1024)
 
 
+def lm_scoring_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1 that don't depend on the model."""
+    return op1_lm_scoring(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def token_counts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_token_counts(spark, sf_dir).select("doc_id", "n_bytes", (F.col("over_limit") == (F.col("n_tokens") > 2048)).alias("consistent"))
+
+
+def secret_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op2_substring_dedup, op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing)
+    f.__name__: f for f in (op1_lm_scoring, op2_substring_dedup, op3_language_id, op4_quality_rules, op5_decontamination, op6_token_counts, op7_secret_scan, op8_jaccard_join, op9_quality_fm, op10_packing, lm_scoring_base, quality_rules_base, token_counts_base, secret_scan_base)
 }
 _TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+#: crc32 of the id's digits: each byte is folded in, and then eight steps of the reversed polynomial are taken.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
 ORACLE: dict[str, str] = {
+    "lm_scoring_base": f"""
+        WITH d AS (SELECT doc_id, coalesce({_CRC} % 10 = 0, false) AS held_out, list_append(list_transform({_WORDS}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), ' ') AS w FROM documents),
+        t AS (SELECT doc_id, held_out, unnest(w) AS x FROM d), c AS (SELECT x, count(*) AS c FROM t WHERE NOT held_out GROUP BY x), s AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+        SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, any_value(n)::BIGINT AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)))), 4) AS base_score
+        FROM t LEFT JOIN c USING (x), s GROUP BY doc_id, held_out""",
+    "quality_rules_base": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+        g AS (SELECT doc_id, s, array_to_string(list_slice(w, s + 1, s + 5), ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS s FROM d WHERE len(w) > 4)),
+        r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + 5)) AS p FROM g JOIN (SELECT doc_id, g FROM g GROUP BY ALL HAVING count(*) > 1) USING (doc_id, g)) GROUP BY doc_id),
+        l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+        o AS (SELECT doc_id, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+            FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id))
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM o""",
+    "token_counts_base": "SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes, true AS consistent FROM documents",
+    "secret_scan_base": """
+        SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: len(x) >= 6))::BIGINT AS n_assign,
+            len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: len(x) >= 20))::BIGINT AS n_access, len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: len(x) >= 24))::BIGINT AS n_hex FROM documents""",
     "op2_substring_dedup": """
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
         win AS (SELECT doc_id, s, md5(array_to_string(list_slice(w, s + 1, s + 35), ' ')) AS h FROM (SELECT doc_id, w, unnest(range(0, len(w) - 34)) AS s FROM d WHERE len(w) >= 35)),

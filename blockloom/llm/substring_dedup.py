@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blockloom.llm.common import doc_index, drop, emit, hash_words, mix, ship, slices, split_words, store
+from blockloom.llm.common import doc_index, drop, emit, hash_words, mix, row_key, ship, slices, split_words, store
 
 GRAM, CHUNK, PLACE = 8, 1 << 22, np.uint64((1 << 24) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -83,7 +83,7 @@ def span_digest(words: list[bytes], start: int, length: int) -> tuple[int, int]:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")).alias("key"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
 
 
 def repeated_spans(docs: DataFrame, k: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,16 +144,18 @@ def repeated_spans(docs: DataFrame, k: int = 35, id_col: str = "doc_id", text_co
     order = Window.partitionBy("key").orderBy("pos")
     islands = places.withColumn("run", F.col("pos") - F.row_number().over(order)).groupBy("key", "run").agg(F.min("pos").alias("start"), (F.count("*") + k - 1).alias("length"))
     none = F.lit(None).cast("long")
-    whole = found.select("c", "key", "start").join(paths.select("c", "length"), "c").join(seen.filter("times = 0").select("c", "hi", "lo").dropDuplicates(["c"]), "c")
+    # one row for each path, and then one join, so that a passage with very many occurrences can be split among tasks
+    named = store(paths.select("c", "length").join(seen.filter("times = 0").select("c", "hi", "lo").dropDuplicates(["c"]), "c"), "named-paths")
+    whole = found.select("c", "key", "start").join(named, "c")
     spans = store(whole.select("key", "start", F.col("length").cast("long").alias("length"), "hi", "lo").union(islands.select("key", "start", "length", none, none)), "spans")
-    drop(found, repeated, paths, mixed, seen)
+    drop(found, repeated, paths, mixed, seen, named, shuffles=True)
     return spans
 
 
 def remove(docs: DataFrame, k: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words left, joined by one space), kept_sha256 for every row."""
     spans = repeated_spans(docs, k, id_col, text_col)
-    by = spans.groupBy(F.col("key").alias("at")).agg(F.collect_list(F.struct("start", "length", "hi", "lo")).alias("spans"))  # no more than a document's words
+    by = spans.groupBy(F.col("key").alias("at")).agg(F.collect_set(F.struct("start", "length", "hi", "lo")).alias("spans"))  # no more than a document's words, also where rows repeat id and text
     rows = _rows(docs, id_col, text_col)
     joined = rows.join(by, F.col("key") == F.col("at"), "left").select("doc_id", "text", "spans")
 

@@ -209,22 +209,51 @@ def test_language_id(docs, empty):
 
 def test_quality_rules(docs, empty):
     got = quality_rules.judge(docs).collect()
-    assert len(got) == len(ROWS)
-    for r in got:
-        if r.doc_id is None:
-            continue
-        t = UNIQUE[r.doc_id]
+    expected = []
+    for i, t, *_ in ROWS:
+        t = t or ""
         w = WORD.findall(t)
         grams = [tuple(w[s : s + 5]) for s in range(len(w) - 4)]
         count = Counter(grams)
         again = {p for s, g in enumerate(grams) if count[g] > 1 for p in range(s, s + 5)}
         lines = [x for x in t.split("\n") if WORD.search(x)]
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again))
-        assert r.base_failed == (len(w) < 10 or 100 * len(again) > 20 * len(w))
-        assert not (r.base_failed and r.kept) and 0 <= r.quality <= 1
+        expected.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again), len(w) < 10 or 100 * len(again) > 20 * len(w)))
+    found = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert all(0 <= r.quality <= 1 and r.kept == (not r.base_failed and r.quality >= 0.5) for r in got)
     assert quality_rules.judge(empty).count() == 0
 
 
+def planted_votes(spark, n=6000, good=0.75, accuracy=((0.95, 0.9), (0.85, 0.8), (0.8, 0.75), (0.9, 0.6), (0.55, 0.5)), cast=0.8):
+    """Documents of known class, and rules that vote (`cast` of the time) with known accuracy on good and on bad ones."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(n):
+        y = rng.random() < good
+        rows.append((i, y, *(0 if rng.random() > cast else (1 if (rng.random() < right[0 if y else 1]) == y else -1) for right in accuracy)))
+    names = [f"v{j}" for j in range(len(accuracy))]
+    return spark.createDataFrame(rows, f"doc_id int, good boolean, {', '.join(f'{x} int' for x in names)}"), names
+
+
+def test_em_estimates_the_accuracies(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "PULL", 0.001)
+    voted, names = planted_votes(spark)
+    rates, prior = quality_rules.fit(voted, names, rounds=80)
+    assert prior == pytest.approx(0.75, abs=0.06)
+    for j, (on_good, on_bad) in enumerate(((0.95, 0.9), (0.85, 0.8), (0.8, 0.75), (0.9, 0.6))):
+        assert 1 - rates[f"v{j}", 1] == pytest.approx(on_good, abs=0.08) and rates[f"v{j}", 0] == pytest.approx(on_bad, abs=0.08)
+    right = voted.withColumn("q", quality_rules.posterior(rates, prior, names)).agg(F.avg(((F.col("q") >= 0.5) == F.col("good")).cast("int"))).first()[0]
+    assert right > 0.9
+
+
+def test_a_single_weak_bad_vote_is_outvoted(spark):
+    voted, names = planted_votes(spark)
+    rates, prior = quality_rules.fit(voted, names)
+    rows = spark.createDataFrame([(1, 1, 1, 1, -1), (-1, -1, -1, 1, 1), (0, 0, 0, 0, 0), (1, 0, 0, 0, 0)], ", ".join(f"{x} int" for x in names))
+    weak, bad, none, one = (r.q for r in rows.select(quality_rules.posterior(rates, prior, names).alias("q")).collect())
+    assert weak > 0.9 and bad < 0.1 and none == pytest.approx(prior) and one > none  # abstentions say nothing, good votes do
+
+
 def test_quality_rules_use_no_python(docs):
     plan = quality_rules.judge(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -475,23 +504,31 @@ def test_sum_of_squares_identity():
 def test_packing(docs, empty):
     got = packing.pack(docs, vocabulary(BYTE_BPE), length=128).collect()
     tok = load(vocabulary(BYTE_BPE))
-    sizes = Counter()
-    places = {}
+    ids = {t: np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in {r[1] or "" for r in ROWS}}
+    texts = {}
+    for r in ROWS:
+        texts.setdefault(r[0], set()).add(r[1] or "")
+    sizes, places = Counter(), Counter()
     for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
-        assert r.offset == sizes[r.sequence_id]
+        assert r.offset == sizes[r.sequence_id] and r.length > 0
         sizes[r.sequence_id] += r.length
-        if r.doc_id is not None:
-            ids = np.array([*tok.encode(UNIQUE[r.doc_id], add_special_tokens=False).ids, 0], "<u4")
-            assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
-            places.setdefault(r.doc_id, []).append((r.start, r.length))
+        places[r.doc_id] += r.length
+        assert any(r.doc_tokens == len(x) and r.ids_crc32 == zlib.crc32(x[r.start : r.start + r.length].tobytes()) for x in (ids[t] for t in texts[r.doc_id]))
     assert all(n <= 128 and n & (n - 1) == 0 for n in sizes.values())
-    for i, own in places.items():
-        times = sum(r[0] == i for r in ROWS)
-        assert sum(n for _, n in own) == times * (len(tok.encode(UNIQUE[i], add_special_tokens=False).ids) + 1)
-    assert set(places) == set(UNIQUE)
+    expected = Counter()
+    for r in ROWS:
+        expected[r[0]] += len(ids[r[1] or ""])
+    assert places == expected
     assert packing.pack(empty, vocabulary(BYTE_BPE)).count() == 0
 
 
+def test_positions_do_not_depend_on_length():
+    rng = random.Random(1)
+    make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    spread = [packing.positions(pa.array([make(n) for _ in range(300)])).std() for n in (20, 2000)]
+    assert 0.8 < spread[0] / spread[1] < 1.25
+
+
 def test_hilbert_key_is_a_curve():
     cells = np.array([(x, y) for x in range(8) for y in range(8)])
     order = cells[np.argsort(packing.hilbert_key(cells, 3))]
