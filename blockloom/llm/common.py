@@ -6,6 +6,8 @@ A row with a null doc_id is an ordinary document that belongs to no held-out fol
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import itertools
 import math
@@ -107,6 +109,13 @@ def held_out(doc_id: str | Column, mod: int, rest: int) -> Column:
     return F.coalesce(fold(doc_id, mod) == rest, F.lit(False))
 
 
+def release() -> None:
+    """Give back what a Python worker has freed but still holds, as it shares its machine with the JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str | int = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most about `most` bytes of text each (one row at least)."""
     n = batch.num_rows
@@ -119,6 +128,7 @@ def slices(batch: pa.RecordBatch, column: str | int = "text", most: int = SLICE_
         stop = max(start + 1, int(np.searchsorted(total, before + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    release()
 
 
 def whole(text: pa.Array) -> pa.Array:
