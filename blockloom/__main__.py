@@ -30,7 +30,9 @@ def main(argv: list[str] | None = None) -> None:
         print(pipeline.write_json_array(parsed, parser.output_dir))
     if not a.no_vectorize:
         factory = (lambda: RemoteProvider(vector)) if vector.api_base or vector.api_key else None
-        pipeline.save(spark, parsed, vector, factory=factory, limited=factory is not None).show(truncate=False)
+        saved = pipeline.save(spark, parsed, vector, factory=factory, limited=factory is not None)
+        saved.summary.show(truncate=False)
+        pipeline.preview(parsed).show(truncate=False, vertical=True)
 
 
 if __name__ == "__main__":

@@ -34,14 +34,15 @@ class VectorOptions:
     delay_bounds: tuple[float, float] = (0.1, 5.0)
     delay_factors: tuple[float, float] = (1.5, 0.9)
     store_dir: str = "./vector_store"
-    collection: str = "tag_rag_vectors"
+    collection: str = "vectors"
     api_base: str = ""
     model: str = ""
     api_key: str = field(default="", repr=False)
 
 
 def load(path: str = "config.yaml") -> tuple[ParserOptions, VectorOptions]:
-    """Options from a YAML file: at `path`, or under the project's root; missing keys keep their defaults."""
+    """Options from a YAML file: at `path`, or under the project's root; missing keys keep their defaults. The service's and
+    the store's sections lie inside `vector_store`."""
     import yaml  # only needed for files
 
     here = path if os.path.exists(path) else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), path)
@@ -62,10 +63,10 @@ def from_mapping(raw: dict) -> tuple[ParserOptions, VectorOptions]:
     vector = VectorOptions(
         dimension=pick(at("vector_store", "dimension"), vector.dimension), batch_size=pick(at("vector_store", "batch_size"), vector.batch_size),
         request_texts=min(pick(at("vector_store", "batch_size"), vector.batch_size), vector.request_texts),
-        rpm=pick(at("embedding", "rate_limit", "rpm"), vector.rpm), tpm=pick(at("embedding", "rate_limit", "tpm"), vector.tpm),
-        adaptive=pick(at("embedding", "rate_limit", "enable_adaptive_delay"), vector.adaptive), delay=pick(at("embedding", "rate_limit", "request_delay"), vector.delay),
-        api_base=pick(at("embedding", "api_base"), vector.api_base), model=pick(at("embedding", "model"), vector.model), api_key=pick(at("embedding", "api_key"), vector.api_key),
-        store_dir=pick(at("chromadb", "persist_directory"), vector.store_dir), collection=pick(at("chromadb", "collection_name"), vector.collection),
+        rpm=pick(at("vector_store", "embedding", "rate_limit", "rpm"), vector.rpm), tpm=pick(at("vector_store", "embedding", "rate_limit", "tpm"), vector.tpm),
+        adaptive=pick(at("vector_store", "embedding", "rate_limit", "enable_adaptive_delay"), vector.adaptive), delay=pick(at("vector_store", "embedding", "rate_limit", "request_delay"), vector.delay),
+        api_base=pick(at("vector_store", "embedding", "api_base"), vector.api_base), model=pick(at("vector_store", "embedding", "model"), vector.model), api_key=pick(at("vector_store", "embedding", "api_key"), vector.api_key),
+        store_dir=pick(at("vector_store", "chromadb", "persist_directory"), vector.store_dir), collection=pick(at("vector_store", "chromadb", "collection_name"), vector.collection),
     )
     return parser, vector
 

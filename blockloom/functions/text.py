@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The line patterns that define the format.
 # Unicode white space as one character class; (?U) makes \s Unicode-aware, (?d) lets . stop at \n only.
 EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 FENCE = r"(?Ud)^\s*(`{3,}|~{3,})"

@@ -96,11 +96,11 @@ class Limiter:
 
 
 def embed(requests: DataFrame, factory: Callable[[], Provider], options: VectorOptions, tasks: int = 1, limited: bool = True) -> DataFrame:
-    """file_path, block_id, embedding (null after a failure), error of rows (file_path, request, batch, block_seq, block_id,
-    text, tokens). The minute's budget is divided among `tasks` partitions; a request's rows are handled together."""
+    """file_path, block_id, embedding (null after a failure), error, wait (seconds that the limiter held the row's request back,
+    on its first row) of rows (file_path, request, batch, block_seq, block_id, text, tokens). The minute's budget is divided among `tasks` partitions; a request's rows are handled together."""
     ship(requests.sparkSession)
     dim, retries = options.dimension, options.retries
-    schema = "file_path string, block_id string, embedding array<float>, error string"
+    schema = "file_path string, block_id string, embedding array<float>, error string, wait double"
 
     def call(provider: Provider, texts: list[str]):
         for attempt in range(retries):
@@ -127,10 +127,9 @@ def embed(requests: DataFrame, factory: Callable[[], Provider], options: VectorO
             if not held:
                 return None
             provider = provider or factory()
-            if limited:
-                limiter.wait(sum(r[4] for r in held))
+            wait = limiter.wait(sum(r[4] for r in held)) if limited else 0.0
             vectors, error = call(provider, [r[3] for r in held])
-            out = pa.RecordBatch.from_arrays([pa.array([r[1] for r in held], pa.string()), pa.array([r[2] for r in held], pa.string()), pa.array(vectors or [None] * len(held), pa.list_(pa.float32())), pa.array([error] * len(held), pa.string())], names=["file_path", "block_id", "embedding", "error"])
+            out = pa.RecordBatch.from_arrays([pa.array([r[1] for r in held], pa.string()), pa.array([r[2] for r in held], pa.string()), pa.array(vectors or [None] * len(held), pa.list_(pa.float32())), pa.array([error] * len(held), pa.string()), pa.array([wait] + [0.0] * (len(held) - 1))], names=["file_path", "block_id", "embedding", "error", "wait"])
             held = []
             return out
 
@@ -150,8 +149,17 @@ def embed(requests: DataFrame, factory: Callable[[], Provider], options: VectorO
     return ordered.mapInArrow(run, schema)
 
 
+def _done(options: VectorOptions):
+    return F.col("embedding").isNotNull() & (F.size("embedding") == options.dimension)
+
+
+def failed(embedded: DataFrame, options: VectorOptions) -> DataFrame:
+    """block_id and error of every row without a vector of the right size."""
+    return embedded.filter(~_done(options)).select("block_id", "error")
+
+
 def status(embedded: DataFrame, options: VectorOptions) -> DataFrame:
-    """One row: success, failure, failed_ids (the first ten)."""
-    ok = F.col("embedding").isNotNull() & (F.size("embedding") == options.dimension)
-    failed = embedded.filter(~ok).select("block_id").orderBy("block_id").limit(10).agg(F.sort_array(F.collect_list("block_id")).alias("failed_ids"))
-    return embedded.agg(F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure")).join(F.broadcast(failed))  # one row each
+    """One row: success, failure, wait_seconds, failed_ids (the first ten, for display; failed() has all)."""
+    ok = _done(options)
+    first = failed(embedded, options).orderBy("block_id").limit(10).agg(F.sort_array(F.collect_list("block_id")).alias("failed_ids"))
+    return embedded.agg(F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"), F.coalesce(F.sum("wait"), F.lit(0.0)).alias("wait_seconds")).join(F.broadcast(first))  # one row each

@@ -15,7 +15,7 @@ SCHEMA = "block_id string, embedding array<float>, document string, start_line i
 class VectorTable:
     """A collection in a directory; metric: cosine."""
 
-    def __init__(self, spark: SparkSession, directory: str, collection: str = "tag_rag_vectors"):
+    def __init__(self, spark: SparkSession, directory: str, collection: str = "vectors"):
         self.spark, self.path = spark, f"{directory.rstrip('/')}/{collection}"
         p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):

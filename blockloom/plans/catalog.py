@@ -60,14 +60,31 @@ def heading_path(spark, sf):
     return scope.headings(_lines(spark, sf, "conversations", "orders")).select("file_path", F.col("idx").cast("long").alias("idx"), F.col("sec").cast("long").alias("sec"), F.col("lvl").cast("long").alias("lvl"), "title")
 
 
-def active_tags(spark, sf):
+def _active_tags(spark, sf, *names):
     """Tags in force at each text line: those of its section and of all sections above, parsed before it."""
-    state = scope.headings(_lines(spark, sf, "conversations", "orders"))
+    state = scope.headings(_lines(spark, sf, *names))
     own = state.filter("not is_tag and not is_header").join(blocks.document_tags(state), "file_path", "left")
     seen = F.filter("tags", lambda t: F.array_contains("anc", t["sec"].cast("int")) & (t["idx"] < F.col("idx")))
     return own.select("file_path", F.col("idx").cast("long").alias("idx"), F.array_join(F.transform(F.coalesce(seen, F.array()), lambda t: _tag_text(t["tag"])), ";").alias("tags"))
 
 
+def active_tags(spark, sf):
+    return _active_tags(spark, sf, "conversations", "orders")
+
+
+def nested_titles(spark, sf):
+    return scope.headings(_lines(spark, sf, "nested")).select("file_path", F.col("idx").cast("long").alias("idx"), F.col("sec").cast("long").alias("sec"), F.col("lvl").cast("long").alias("lvl"), "title")
+
+
+def nested_tags(spark, sf):
+    return _active_tags(spark, sf, "nested")
+
+
+def nested_blocks(spark, sf):
+    """Blocks of documents with three heading levels, and with text, a table and code in one section."""
+    return _flat(_parsed(spark, sf, "nested"))
+
+
 def table_runs(spark, sf):
     state = scope.elements(scope.headings(_lines(spark, sf, "orders")))
     return state.filter("is_table").groupBy("file_path", "run_id").agg(F.count("*").alias("n_rows"), F.max("idx").cast("long").alias("last_line")).withColumn("run_id", F.col("run_id").cast("long"))
@@ -234,7 +251,7 @@ def block_stats(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__.rstrip("_"): f
     for f in (
-        lines_, row_classify, row_kind_counts, headers, tags_parsed, tags_excluded, heading_path, active_tags, table_runs, code_groups, segments, text_overflow_pieces, code_chunks, table_chunks,
+        lines_, row_classify, row_kind_counts, headers, tags_parsed, tags_excluded, heading_path, active_tags, nested_titles, nested_tags, nested_blocks, table_runs, code_groups, segments, text_overflow_pieces, code_chunks, table_chunks,
         generic_chunks, subchunk_line_ranges, blocks_all, blocks_text, blocks_protected, blocks_code, heading_only_discarded, split_flags, block_ids, augmented_text, metadata_flat, token_estimate,
         request_batches, outer_batches, embed_status, dimension_check, store_append, cosine_topk, rate_window, tag_key_counts, block_stats,
     )

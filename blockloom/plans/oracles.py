@@ -1,6 +1,7 @@
 """DuckDB SQL for the rows of the registered queries.
 
-The corpora have one header level each, and code and tables in different ones, which the SQL may rely on.
+Four corpora have one header level each, and code and tables in different ones, which their SQL may rely on. The nested one
+has three levels, code and tables together; its SQL states what its lines and blocks are from the tables it is made of.
 """
 
 from __future__ import annotations
@@ -114,7 +115,38 @@ TOKENS = r"greatest(1, trunc(len(regexp_replace(coalesce(text, ''), '[^\x{4e00}-
 TURNS = f"turns AS (SELECT conv_id::VARCHAR AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS block_seq, {TOKENS} AS tokens FROM conversations)"
 CONV, W = "conversations", "WITH RECURSIVE"
 
+NESTED = """ent AS (SELECT c_custkey, max(c_mktsegment) OVER (PARTITION BY c_custkey) AS seg, o_orderstatus AS st, o_orderkey AS ok, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) - 1 AS k,
+        count(*) OVER (PARTITION BY c_custkey) AS n, 'cust/' || c_custkey || '.md' AS file_path, 'customer ' || c_custkey AS t1 FROM customer JOIN orders ON o_custkey = c_custkey),
+    ln AS (SELECT *, 3 + 13 * k + o AS idx FROM (SELECT *, unnest(range(0, CASE WHEN k < n - 1 THEN 13 ELSE 12 END)) AS o FROM ent))"""
+
+
+def nested_block(first: int, last: int, content: str, depth: int, split: bool, element: str = "") -> str:
+    """One kind of block of each entry: its lines, content, number of headings above it."""
+    shift = 1 if element else 0
+    title = "t1 || '/status ' || st" + (" || '/order ' || ok" if depth == 3 else "")
+    tags = "'segment=' || seg || ';state=' || st" + (" || ';seed=order/' || ok" if depth == 3 else "")
+    at = lambda o: f"(3 + 13 * k + {o})"
+    return f"""SELECT file_path, {at(first)} AS place, md5(file_path || '_' || ({at(first)} + {shift}) || '_' || ({at(last)} + {shift}) || '_' || substring(md5({content}), 1, 16)) AS block_id, {content} AS content,
+        ({at(first)} + 1)::BIGINT AS start_line, ({at(last)} + 1)::BIGINT AS end_line, {tags} || ';file_path=' || file_path || ';title=' || {title} AS tags, {"true" if split else "false"} AS is_splited, '{element}' AS element FROM ent"""
+
+
+NL = " || chr(10) || "
+NESTED_BLOCKS = " UNION ALL ".join(
+    [
+        nested_block(0, 2, f"'## status ' || st{NL}'between'", 2, False),
+        nested_block(5, 7, f"'| key |'{NL}'|---|'{NL}'| ' || ok || ' |'", 3, True, "table"),
+        nested_block(8, 10, f"'```'{NL}'code'{NL}'```'", 3, True, "code"),
+        nested_block(11, 11, "'after'", 3, True),
+        f"""SELECT DISTINCT file_path, 0, md5(file_path || '_0_2_' || substring(md5('# ' || t1{NL}'about'), 1, 16)), '# ' || t1{NL}'about', 1, 3, 'segment=' || seg || ';file_path=' || file_path || ';title=' || t1, false, '' FROM ent""",
+    ]
+)
+
 ORACLE: dict[str, str] = {
+    "nested_titles": f"""WITH {NESTED} SELECT file_path, idx, CASE WHEN o < 3 THEN 2 + 2 * k ELSE 3 + 2 * k END AS sec, CASE WHEN o < 3 THEN 2 ELSE 3 END::BIGINT AS lvl, t1 || '/status ' || st || CASE WHEN o < 3 THEN '' ELSE '/order ' || ok END AS title FROM ln
+        UNION ALL SELECT file_path, unnest(range(0, 3)), 1, 1, t1 FROM (SELECT DISTINCT file_path, t1 FROM ent)""",
+    "nested_tags": f"""WITH {NESTED} SELECT file_path, idx, 'segment=' || seg || ';state=' || st || CASE WHEN o < 5 THEN '' ELSE ';seed=order/' || ok END AS tags FROM ln WHERE o NOT IN (0, 1, 3, 4)
+        UNION ALL SELECT DISTINCT file_path, 2, 'segment=' || seg FROM ent""",
+    "nested_blocks": f"""WITH {NESTED}, b AS ({NESTED_BLOCKS}) SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY place) AS block_seq, block_id, content, start_line, end_line, tags, is_splited, element, false AS protected_element_overlength FROM b""",
     "lines": f"{W} {lines(CONV)} SELECT file_path, idx::BIGINT AS idx, text FROM l",
     "row_classify": f"{W} {lines(CONV, 'orders', 'pages')} SELECT file_path, idx::BIGINT AS idx, kind, header_level::BIGINT AS header_level FROM h",
     "row_kind_counts": f"{W} {lines(CONV, 'orders', 'pages', 'documents')} SELECT kind, count(*) AS n, sum(len(text))::BIGINT AS chars FROM h GROUP BY kind",

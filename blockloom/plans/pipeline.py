@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +42,39 @@ def vectorize(parsed: DataFrame, options: VectorOptions = VectorOptions(), facto
     return meta.join(parsed.select("block_id", F.col("content").alias("document"), "file_path"), "block_id").join(vectors, ["file_path", "block_id"])
 
 
-def save(spark: SparkSession, parsed: DataFrame, options: VectorOptions = VectorOptions(), **how) -> DataFrame:
-    """Embed blocks and append them to the store; the summary row (success, failure, failed_ids)."""
-    records = vectorize(parsed, options, **how)
+@dataclass(frozen=True)
+class Saved:
+    """What a run of save() has done: summary (one row: success, failure, wait_seconds, the first ten failed_ids), failed
+    (block_id and error of all failures) and records. The last two read the run's folder until discard() removes it."""
+
+    summary: DataFrame
+    failed: DataFrame
+    records: DataFrame
+    folder: str
+
+    def discard(self) -> None:
+        spark = self.records.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def save(spark: SparkSession, parsed: DataFrame, options: VectorOptions = VectorOptions(), **how) -> Saved:
+    """Embed blocks, once, and append them to the store. The records are written to a folder of the run beside the collection
+    before anything reads them, so that neither the append nor the counts call the service again."""
     store = VectorTable(spark, options.store_dir, options.collection)
-    wanted = [f.name for f in store.read().schema.fields]
-    store.append(records.select(*wanted))
-    return embed.status(records, options)
+    folder = f"{store.path}.runs/{uuid.uuid4().hex}"
+    vectorize(parsed, options, **how).write.parquet(folder)
+    records = spark.read.parquet(folder)
+    store.append(records.select(*(f.name for f in store.read().schema.fields)))
+    summary = embed.status(records, options)
+    summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row
+    return Saved(summary, embed.failed(records, options), records, folder)
+
+
+def preview(parsed: DataFrame, n: int = 2) -> DataFrame:
+    """The first blocks: block_id, the beginnings of content (100 characters) and augmented text (150), tags, element."""
+    cut = lambda c, size: F.when(F.char_length(c) > size, F.concat(F.substring(c, 1, size), F.lit("..."))).otherwise(F.col(c)).alias(c)
+    return augment.with_text(parsed).orderBy("file_path", "block_seq").limit(n).select("block_id", cut("content", 100), cut("augmented_text", 150), F.size("tags").alias("n_tags"), "protected_element_type")
 
 
 def stats(spark: SparkSession, options: VectorOptions = VectorOptions()) -> DataFrame:

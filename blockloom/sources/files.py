@@ -12,32 +12,28 @@ SCHEMA = "file_path string, text string"
 
 
 def _legacy(content: pd.Series) -> pd.Series:
-    """GBK, else Latin-1 (which takes any bytes)."""
-
-    def decode(raw: bytes) -> str:
-        try:
-            return raw.decode("gbk")
-        except UnicodeDecodeError:
-            return raw.decode("latin-1")
+    """What isn't UTF-8: the first of UTF-16 (with its mark), GBK and Latin-1 (which takes any bytes) that can decode it."""
+
+    def decode(raw: bytes | None) -> str | None:
+        if raw is None:
+            return None
+        for codec in (["utf-16"] if raw[:2] in (b"\xff\xfe", b"\xfe\xff") else []) + ["gbk"]:
+            try:
+                return raw.decode(codec)
+            except UnicodeDecodeError:
+                continue
+        return raw.decode("latin-1")
 
     return content.map(decode)
 
 
-def decode(content: Column) -> tuple[Column, Column]:
-    """Text of what UTF-8 (a byte-order mark is dropped) or UTF-16 (with its mark) can decode, and whether it was either."""
-    mark = F.substring(F.hex(content), 1, 6)
-    utf8 = F.is_valid_utf8(content.cast("string"))
-    wide = mark.startswith("FFFE") | mark.startswith("FEFF")
-    plain = F.when(mark == "EFBBBF", F.substring(content, 4, 1 << 30).cast("string")).otherwise(content.cast("string"))
-    return F.when(utf8, plain).when(wide, F.decode(content, "UTF-16")), utf8 | wide
-
-
 def decoded(raw: DataFrame) -> DataFrame:
-    """file_path, text of rows (file_path, content); only files in neither UTF-8 nor UTF-16 pass through Python."""
-    text, known = decode(F.col("content"))
-    rows = raw.select("file_path", "content", known.alias("known"))
-    modern = rows.filter("known").select("file_path", text.alias("text"))
-    return modern.union(rows.filter("not known").select("file_path", F.pandas_udf(_legacy, "string")("content").alias("text")))
+    """file_path, text of rows (file_path, content). UTF-8 (a byte-order mark is dropped) stays in the JVM; other files'
+    bytes pass through Python."""
+    plain = F.when(F.substring(F.hex("content"), 1, 6) == "EFBBBF", F.substring("content", 4, 1 << 30)).otherwise(F.col("content")).cast("string")
+    rows = raw.withColumn("known", F.is_valid_utf8(F.col("content").cast("string")))
+    rows = rows.withColumn("other", F.pandas_udf(_legacy, "string")(F.when(~F.col("known"), F.col("content"))))
+    return rows.select("file_path", F.when(F.col("known"), plain).otherwise(F.col("other")).alias("text"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

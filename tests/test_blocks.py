@@ -1,7 +1,6 @@
 """Blocks: the sample document's known result, and hand-made cases."""
 
-import json
-import os
+import hashlib
 
 import pytest
 
@@ -9,8 +8,46 @@ from blockloom.config import ParserOptions
 from blockloom.operators.blocks import blocks
 from blockloom.plans.pipeline import parse
 
-#: A Markdown file and the JSON array of its blocks at 400 characters, with the document key that the blocks name.
-SAMPLE, RESULT, KEY = (os.environ.get(f"BLOCKLOOM_SAMPLE_{x}", "") for x in ("TEXT", "BLOCKS", "KEY"))
+SAMPLE = """#project/demo
+Lead text of the sample.
+
+## First part
+#?topic/one
+The first part has a line.
+It has a second line that is rather longer than the one before it.
+A third line.
+
+### Detail
+#depth
+A detail under the first part.
+```py
+code = 1
+# a comment
+more = 2
+```
+## Second part
+#kind/table
+| name | size |
+|------|------|
+| alpha | 1 |
+| beta | 2 |
+| gamma | 3 |
+| delta | 4 |
+
+Closing words.
+"""
+#: Worked out by hand at 90 characters: first and last line, split, element, content, tags (the file's apart), title.
+FIRST, LONG = "## First part\nThe first part has a line.\n", "It has a second line that is rather longer than the one before it."
+RESULT = [
+    (2, 2, False, None, "Lead text of the sample.", ["project=demo"], None),
+    (4, 7, True, None, FIRST + LONG, ["project=demo", "seed=topic/one"], "null/First part"),
+    (7, 8, True, None, LONG + "\nA third line.", ["project=demo", "seed=topic/one"], "null/First part"),
+    (10, 12, True, None, "### Detail\nA detail under the first part.", ["project=demo", "seed=topic/one", "topic=depth"], "null/First part/Detail"),
+    (13, 14, True, "code", "```py\ncode = 1", ["project=demo", "seed=topic/one", "topic=depth"], "null/First part/Detail"),
+    (13, 17, True, "code", "```py\ncode = 1\nmore = 2\n```", ["project=demo"], "a comment"),
+    (20, 25, True, "table", "| name | size |\n|------|------|\n| alpha | 1 |\n| beta | 2 |\n| gamma | 3 |\n| delta | 4 |", ["project=demo", "kind=table"], "a comment/Second part"),
+    (27, 27, True, None, "Closing words.", ["project=demo", "kind=table"], "a comment/Second part"),
+]
 
 
 def run(spark, text, limit=450, **options):
@@ -21,14 +58,16 @@ def run(spark, text, limit=450, **options):
     ]
 
 
-@pytest.mark.skipif(not os.path.exists(RESULT), reason="no sample pair named")
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_sample(spark, partitions):
-    with open(SAMPLE, encoding="utf-8") as f:
-        docs = spark.createDataFrame([(KEY, f.read())], "file_path string, text string").repartition(partitions)
-    found = [r.asDict(recursive=True) for r in blocks(docs, ParserOptions(max_chars=400)).orderBy("block_seq").drop("file_path", "block_seq").collect()]
-    with open(RESULT, encoding="utf-8") as f:
-        assert found == json.load(f)
+    docs = spark.createDataFrame([("s.md", SAMPLE), ("other.md", "x")], "file_path string, text string").repartition(partitions)
+    found = blocks(docs, ParserOptions(max_chars=90)).filter("file_path = 's.md'").orderBy("block_seq").collect()
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    for r, (first, last, split, element, content, own, title) in zip(found, RESULT, strict=True):
+        base = 0 if element else 1  # ids of text count lines from 0, those of protected elements from 1
+        expected = [*own, "file_path=s.md", *([f"title={title}"] if title else [])]
+        assert (r.start_line, r.end_line, r.is_splited, r.protected_element_type, r.content, [f"{t.key}={t.value}" for t in r.tags]) == (first, last, split, element, content, expected)
+        assert r.block_id == md5(f"s.md_{first - base}_{last - base}_{md5(content)[:16]}") and r.protected_element_overlength is False
 
 
 CODE, TABLE = "code", "table"

@@ -81,15 +81,45 @@ def test_failures_are_status(spark, tmp_path):
     docs = spark.createDataFrame([("a", "# A\ngood\n"), ("b", "# B\nbad\n")], "file_path string, text string")
     options = VectorOptions(dimension=2, store_dir=str(tmp_path), retries=1)
     parsed = pipeline.parse(docs)
-    done = pipeline.save(spark, parsed, options, factory=Broken, limited=False).first()
-    assert (done.success, done.failure, len(done.failed_ids)) == (1, 1, 1)
-    again = pipeline.save(spark, parsed, options, factory=Broken, limited=False).first()
-    assert (again.success, again.failure) == (1, 1)
+    saved = pipeline.save(spark, parsed, options, factory=Broken, limited=False)
+    done = saved.summary.first()
+    assert (done.success, done.failure, done.wait_seconds, len(done.failed_ids)) == (1, 1, 0.0, 1)
+    assert [r.error for r in saved.failed.collect()] == ["no"]
+    again = pipeline.save(spark, parsed, options, factory=Broken, limited=False)
+    assert (again.summary.first().success, again.summary.first().failure) == (1, 1)
+    again.discard()
+    assert not os.path.exists(again.folder) and os.path.exists(saved.folder)
     assert pipeline.stats(spark, options).first().record_count == 1
-    wrong = pipeline.save(spark, parsed, VectorOptions(dimension=3, store_dir=str(tmp_path / "x"), retries=1), factory=Broken, limited=False).first()
+    wrong = pipeline.save(spark, parsed, VectorOptions(dimension=3, store_dir=str(tmp_path / "x"), retries=1), factory=Broken, limited=False).summary.first()
     assert wrong.success == 0
 
 
+def test_one_call_a_request_all_failed_ids_and_the_wait(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    class Counting:
+        def embed(self, texts):
+            with open(calls, "a") as f:
+                f.write("x\n")
+            raise RuntimeError("down")
+
+    docs = spark.createDataFrame([("f", "".join(f"# h{i}\nword {i}\n" for i in range(30)))], "file_path string, text string")
+    options = VectorOptions(dimension=2, store_dir=str(tmp_path / "s"), retries=1, delay=0.01, delay_bounds=(0.01, 0.01), request_texts=16)
+    saved = pipeline.save(spark, pipeline.parse(docs), options, factory=Counting)
+    done = saved.summary.first()
+    assert (done.success, done.failure, len(done.failed_ids)) == (0, 30, 10) and saved.failed.count() == 30
+    with open(calls) as f:
+        assert len(f.readlines()) == 2  # 16 texts and 14
+    assert done.wait_seconds == pytest.approx(0.02)
+
+
+def test_preview(spark):
+    docs = spark.createDataFrame([("b", "# B\nx\n"), ("a", "# A\n" + "long " * 60 + "\n\n## C\ny\n")], "file_path string, text string")
+    rows = pipeline.preview(pipeline.parse(docs)).collect()
+    assert [r.content[:3] for r in rows] == ["# A", "## "] and len(rows[0].content) == 103 and rows[0].content.endswith("...") and len(rows[0].augmented_text) == 153
+    assert rows[1].augmented_text == "file_path: a title: A/C ## C\ny" and rows[1].n_tags == 2
+
+
 def test_search(spark):
     table = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0, 1.0])], "block_id string, embedding array<float>")
     asked = spark.createDataFrame([(1, [1.0, 0.1])], "query_id int, query array<float>")
@@ -115,10 +145,10 @@ def test_embed_status_embeds_the_text_of_turns(spark, tmp_path, monkeypatch):
 
 def test_encodings_and_directories(spark, tmp_path):
     (tmp_path / "sub").mkdir()
-    for name, raw in {"a.md": "﻿# é\n".encode(), "b.markdown": "# é\n".encode("utf-16"), "c.md": "# 中文\n".encode("gbk"), "sub/d.md": b"# \xff\xfe\n", "E.MD": b"x", "f.txt": b"x"}.items():
+    for name, raw in {"a.md": "﻿# é\n".encode(), "b.markdown": "# é\n".encode("utf-16"), "c.md": "# 中文\n".encode("gbk"), "sub/d.md": b"# \xff\xfe\n", "g.md": b"\xff\xfe\x00\xd8x", "E.MD": b"x", "f.txt": b"x"}.items():
         (tmp_path / name).write_bytes(raw)
     found = {os.path.basename(r.file_path): r.text for r in read_directory(spark, str(tmp_path)).collect()}
-    assert found == {"a.md": "# é\n", "b.markdown": "# é\n", "c.md": "# 中文\n", "d.md": b"# \xff\xfe\n".decode("latin-1")}
+    assert found == {"a.md": "# é\n", "b.markdown": "# é\n", "c.md": "# 中文\n", "d.md": b"# \xff\xfe\n".decode("latin-1"), "g.md": b"\xff\xfe\x00\xd8x".decode("latin-1")}
     some = read_files(spark, str(tmp_path / "f.txt"), str(tmp_path / "f.txt"), str(tmp_path / "missing.md"))
     assert [r.text for r in some.collect()] == ["x"]
     assert read_files(spark).count() == read_directory(spark, str(tmp_path / "none")).count() == 0
@@ -143,9 +173,25 @@ def test_stream(spark, tmp_path):
     assert seen == ["# A\nx", "# B\ny"]
 
 
-def test_config():
-    parser, vector = config.from_mapping({"parser": {"chunk_strategy": {"max_chars": 9}}, "tags": {"exclude_regex": ["a"]}, "vector_store": {"batch_size": 4}, "chromadb": {"collection_name": "c"}})
-    assert (parser.max_chars, parser.exclude, vector.batch_size, vector.request_texts, vector.collection) == (9, ("a",), 4, 4, "c")
+def test_config(tmp_path):
+    (tmp_path / "c.yaml").write_text("""
+parser: {chunk_strategy: {max_chars: 9}, file_extensions: [".md"]}
+tags: {exclude_regex: ["^#a"]}
+vector_store:
+  dimension: 8
+  batch_size: 4
+  embedding:
+    api_base: "http://service"
+    model: "m"
+    api_key: "k"
+    rate_limit: {rpm: 7, tpm: 70, enable_adaptive_delay: false, request_delay: 0.1}
+  chromadb: {persist_directory: "./v", collection_name: "mine"}
+""")
+    parser, vector = config.load(str(tmp_path / "c.yaml"))
+    assert (parser.max_chars, parser.exclude, parser.extensions) == (9, ("^#a",), (".md",))
+    assert (vector.dimension, vector.batch_size, vector.request_texts, vector.rpm, vector.tpm, vector.adaptive, vector.delay) == (8, 4, 4, 7, 70, False, 0.1)
+    assert (vector.api_base, vector.model, vector.api_key, vector.store_dir, vector.collection) == ("http://service", "m", "k", "./v", "mine")
+    assert config.from_mapping({}) == (ParserOptions(), VectorOptions())
 
 
 def test_outer_batches(spark):
