@@ -68,8 +68,8 @@ def store(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop(*tables: DataFrame, shuffles: bool = False) -> None:
-    """Delete tables made by store() that nothing reads any more. shuffles: also have the driver look for finished plans,
-    whose shuffle files Spark's cleaner then removes (a pause of the driver, for the ends of large steps)."""
+    """Delete tables made by store() that nothing reads any more; shuffles: and free() (a pause of the driver, for the ends
+    of large steps)."""
     for t in tables:
         path = getattr(t, "_stored_at", None)
         if path:
@@ -77,8 +77,13 @@ def drop(*tables: DataFrame, shuffles: bool = False) -> None:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
     if shuffles:
-        gc.collect()
-        tables[0].sparkSession._jvm.System.gc()
+        free(tables[0].sparkSession)
+
+
+def free(spark: SparkSession) -> None:
+    """Have the driver look for finished plans, whose shuffle files Spark's cleaner then removes."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
