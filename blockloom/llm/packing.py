@@ -22,10 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import emit, hash_words, partitions, row_key, ship, slices, split_words, store, sums
+from blockloom.llm.common import emit, mix, partitions, row_key, ship, slices, split_words, store, sums
 from blockloom.llm.tokenizing import ByteIds
 
 DIMS, BITS = 3, 16
+ODD = 0x9E3779B97F4A7C15
 
 
 def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -55,10 +56,22 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+def word_codes(flat: pa.Array) -> np.ndarray:
+    """A number for each word from all of its bytes, by array operations alone: good enough to draw signs from."""
+    if not len(flat):
+        return np.zeros(0, np.uint64)
+    cuts = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+    raw = np.frombuffer(flat.buffers()[2], np.uint8)[cuts[0] : cuts[-1]].astype(np.uint64)
+    cuts = cuts - cuts[0]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw + np.uint64(1)) * np.multiply.accumulate(np.full(len(raw), ODD, np.uint64)), dtype=np.uint64)])
+    back = np.multiply.accumulate(np.full(len(raw), pow(ODD, -1, 1 << 64), np.uint64))
+    return mix((total[cuts[1:]] - total[cuts[:-1]]) * back[cuts[:-1]])
+
+
 def positions(text: pa.Array) -> np.ndarray:
     """Coordinates of each text: DIMS random sign sums over its words' hashes, scaled to the cell grid."""
     flat, ends = split_words(text, lower=True)
-    h, n = hash_words(flat), np.sqrt(np.maximum(np.diff(ends), 1))
+    h, n = word_codes(flat), np.sqrt(np.maximum(np.diff(ends), 1))
     at = np.empty((len(ends) - 1, DIMS), np.int64)
     for j in range(DIMS):
         sign = ((h >> np.uint64(7 * j)) & np.uint64(1)).astype(np.int64) * 2 - 1

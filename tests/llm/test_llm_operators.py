@@ -522,6 +522,13 @@ def test_packing(docs, empty):
     assert packing.pack(empty, vocabulary(BYTE_BPE)).count() == 0
 
 
+def test_word_codes_are_the_words_own():
+    flat, _ = split_words(pa.array(["b a", "a b c\u00e9 a", None, "cc c", "x" * 5000 + " a"]), lower=True)
+    words, codes = flat.to_pylist(), packing.word_codes(flat).tolist()
+    assert len({*zip(words, codes, strict=True)}) == len(set(words)) == len(set(codes))
+    assert packing.word_codes(flat.slice(2)).tolist() == codes[2:]
+
+
 def test_positions_do_not_depend_on_length():
     rng = random.Random(1)
     make = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
