@@ -49,9 +49,3 @@ def cjk_count(c: Column) -> Column:
 def token_estimate(c: Column) -> Column:
     """max(1, int(1.3 per CJK character + 0.25 per other character))."""
     return let(cjk_count(c), lambda n: F.greatest((n * F.lit(1.3) + (F.char_length(c) - n) * F.lit(0.25)).cast("int"), F.lit(1)))
-
-
-def rfind(c: Column, what: str, start: Column, size: int) -> Column:
-    """0-based place of the last `what` (one character) in the `size` characters from `start`; -1 if there is none."""
-    part = F.substring(c, start + 1, F.lit(size))
-    return let(F.instr(F.reverse(part), F.lit(what)), lambda at: F.when(at > 0, start + F.char_length(part) - at).otherwise(-1))

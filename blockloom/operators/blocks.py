@@ -1,7 +1,8 @@
 """Blocks: text pieces and protected elements with their tags, flags, ids and line ranges.
 
-All state comes from one exchange by file_path; the groupings and joins below are on file_path with another key and so
-need no further one, apart from the union's.
+The input is scanned once and exchanged once, by file_path. Each line then tells the groups it belongs to (its section, buffer
+segment, code block, table run), and one grouping makes their units; sections hand cuts and tags to units by windows. As
+all keys and windows begin with file_path, none of this needs a further exchange. No join, no union.
 """
 
 from __future__ import annotations
@@ -15,39 +16,53 @@ from blockloom.functions import text as T
 from blockloom.operators import folds, scope, tags
 from blockloom.operators.rows import classify, lines
 
-ROW = ("idx", "text")
-
 
 def states(docs: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
     """Classified lines with heading, code, table and buffer state."""
     return scope.elements(scope.headings(scope.protect(classify(lines(docs)), options.mode)))
 
 
-def document_tags(rows: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
-    """file_path, tags: a document's parsed tags with their section, level and line."""
-    parsed = rows.filter("is_tag").select("file_path", F.struct(F.col("lvl"), F.col("idx"), F.col("sec"), tags.parse_tag(F.col("clean_text"), options).alias("tag")).alias("t"))
-    return parsed.filter(F.col("t.tag").isNotNull()).groupBy("file_path").agg(F.sort_array(F.collect_list("t")).alias("tags"))
-
+#: Roles of a group.
+SECTION, SEGMENT, CODE, TABLE = "section", "segment", "code", "table"
 
-def _ordered(flag: Column, *fields: Column) -> Column:
-    return F.sort_array(F.collect_list(F.when(flag, F.struct(*fields))))
 
+def gathered(rows: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
+    """One row per section with a tag or a cut, buffer segment, code block and table run (role, k): its rows in order, the
+    state at its last line (s) and what else its role needs.
 
-def segments(rows: DataFrame) -> DataFrame:
-    """One row per buffer segment: its rows in order, and the line at which it is flushed."""
-    blank = T.strip(F.col("text")) == ""
-    row = (F.col("idx"), F.char_length("text").alias("len"), F.col("is_header").alias("head"), blank.alias("blank"), F.col("text"))
-    grouped = rows.groupBy("file_path", "seg").agg(_ordered(F.col("buf"), *row).alias("rows"), (F.max("idx") + 1).alias("flush"), F.max("sec").alias("sec"), F.max(F.struct("idx", "title", "anc")).alias("s"))
-    return grouped.filter(F.size("rows") > 0).select("file_path", "seg", "rows", "flush", "sec", F.col("s.title").alias("title"), F.col("s.anc").alias("anc"))
+    cut: the section's first line at which something other than a header or an overflow cuts it. own: its tags (idx, tag).
+    heads: the states before headers inside the code block. close, eof: the state at its closing fence, at the file's last
+    line. lost: the line of a table inside it.
+    """
+    is_role = lambda *names: F.col("role").isin(*names)
+    cut = F.col("closes") | F.col("run_end") | ((F.col("opens") | F.col("run_start")) & F.col("buf_before"))
+    # a block's lines end with its closing fence, though gid lasts until the next opening one
+    code_row = F.col("opens") | F.col("closes") | (F.col("plain") & F.col("in_code"))
+    inside = (F.col("is_header") | F.col("run_start")) & F.col("in_code")
+    belongs = {
+        SECTION: (F.col("is_tag") | cut, "sec"), SEGMENT: (F.lit(True), "seg"),
+        CODE: (F.col("gid").isNotNull() & (code_row | inside | F.col("last")), "gid"), TABLE: (F.col("is_table"), "run_id"),
+    }
+    # the state before a header is that of the line before it
+    before = rows.withColumns({"p_sec": F.lag("sec").over(scope.order()), "p_title": F.lag("title").over(scope.order()), "p_anc": F.lag("anc").over(scope.order())})
+    roles = [F.when(flag, F.struct(F.lit(role).alias("role"), F.col(k).cast("long").alias("k"))) for role, (flag, k) in belongs.items()]
+    each = before.withColumn("g", F.explode(F.array_compact(F.array(*roles)))).withColumns({"role": F.col("g.role"), "k": F.col("g.k")})
+    held = (is_role(SEGMENT) & F.col("buf")) | (is_role(CODE) & code_row) | is_role(TABLE)
+    row = F.struct("idx", F.char_length("text").alias("len"), F.col("is_header").alias("head"), (T.strip(F.col("text")) == "").alias("blank"), "text")
+    state = F.struct("idx", "sec", "title", "anc")
+    snapshot = F.struct("idx", F.col("p_sec").alias("sec"), F.col("p_title").alias("title"), F.col("p_anc").alias("anc"))
+    tag = F.struct("idx", tags.parse_tag(F.col("clean_text"), options).alias("tag"))
+    return each.groupBy("file_path", "role", "k").agg(
+        F.sort_array(F.collect_list(F.when(held, row))).alias("rows"), F.max(state).alias("s"), F.max("lvl").alias("lvl"),
+        F.min(F.when(is_role(SECTION) & cut, F.col("idx"))).alias("cut"), F.sort_array(F.collect_list(F.when(is_role(SECTION) & F.col("is_tag"), tag))).alias("own"),
+        F.collect_list(F.when(is_role(CODE) & F.col("is_header") & F.col("in_code"), snapshot)).alias("heads"), F.max(F.when(F.col("closes"), state)).alias("close"),
+        F.max(F.when(F.col("run_start") & F.col("in_code"), F.col("idx"))).alias("lost"), F.max(F.when(F.col("last"), state)).alias("eof"),
+    )
 
 
-def text_pieces(rows: DataFrame, options: ParserOptions) -> DataFrame:
-    """One row per flushed piece of text; over: flushed since it passed the limit."""
-    cut = segments(rows).withColumn("pieces", folds.text_pieces(F.col("rows"), options.max_chars))
-    each = cut.select("*", F.posexplode("pieces").alias("sub", "p"))
-    own = F.slice("rows", F.col("p.a") + 1, F.col("p.b") - F.col("p.a") + 1)
-    flush = F.when(F.col("p.over"), F.get("rows", F.col("p.b"))["idx"]).otherwise(F.col("flush"))
-    return each.select("file_path", "sec", "title", "anc", "sub", F.col("p.over").alias("over"), flush.alias("flush"), own.alias("rows"))
+def segments(rows: DataFrame) -> DataFrame:
+    """One row per buffer segment that has rows: file_path, seg and its rows in order."""
+    return gathered(rows).filter((F.col("role") == SEGMENT) & (F.size("rows") > 0)).select("file_path", F.col("k").alias("seg"), "rows")
 
 
 def trimmed(rows: Column) -> Column:
@@ -58,60 +73,50 @@ def trimmed(rows: Column) -> Column:
     return T.let(T.let(full, edge), lambda e: F.when(e["start"].isNotNull(), F.struct(e["start"].alias("start"), e["end"].alias("end"), T.strip(F.array_join(inside(e), "")).alias("content"))))
 
 
-def protected(rows: DataFrame) -> DataFrame:
-    """One row per emission of a code block or table: rows in order, flush line and the state there.
+def units(groups: DataFrame, options: ParserOptions) -> DataFrame:
+    """One row per section and per unit: a flushed piece of a segment (over: flushed as it passed the limit), an emission of a
+    code block, a table. flush, sec, title, anc: line and state of the flush; own_rows: the unit's rows.
 
     A header inside code emits the block so far without ending it; a table inside code takes the block's place, and what
     the block had is lost; at the end of the file an open element is emitted.
     """
-    row = F.struct("idx", "text")
-    code_row = F.col("opens") | F.col("closes") | (F.col("plain") & F.col("in_code"))
-    state = F.struct("idx", "sec", "title", "anc")
-    # the state before a header is that of the line before it
-    before = rows.withColumns({"p_sec": F.lag("sec").over(scope.order()), "p_title": F.lag("title").over(scope.order()), "p_anc": F.lag("anc").over(scope.order())})
-    snapshot = F.when(F.col("is_header") & F.col("in_code"), F.struct("idx", F.col("p_sec").alias("sec"), F.col("p_title").alias("title"), F.col("p_anc").alias("anc")))
-    # only lines up to the next opening fence belong to a block; a table inside code ends it without an emission
-    code = before.filter(F.col("gid").isNotNull()).groupBy("file_path", "gid").agg(
-        F.sort_array(F.collect_list(F.when(code_row, row))).alias("rows"), F.collect_list(snapshot).alias("heads"), F.max(F.when(F.col("closes"), state)).alias("close"),
-        F.max(F.when(F.col("run_start") & F.col("in_code"), F.col("idx"))).alias("lost"), F.max(F.when(F.col("last"), state)).alias("eof"),
-    )
-    emit = lambda s, at: F.struct((s["idx"] + at).alias("flush"), s["sec"].alias("sec"), s["title"].alias("title"), s["anc"].alias("anc"), F.lit(at).alias("at"))
-    none = F.array().cast("array<struct<flush:int,sec:bigint,title:string,anc:array<int>,at:int>>")
-    ends = F.when(F.col("close").isNotNull(), F.array(emit(F.col("close"), 0))).when(F.col("lost").isNull() & F.col("eof").isNotNull(), F.array(emit(F.col("eof"), 1))).otherwise(none)
-    emits = F.concat(F.transform("heads", lambda h: emit(h, 0)), ends)
-    blocks = code.select("file_path", "rows", F.explode(emits).alias("e")).select(
-        "file_path", F.lit("code").alias("kind"), "e.flush", "e.sec", "e.title", "e.anc", F.filter("rows", lambda r: r["idx"] <= F.col("e.flush")).alias("rows")
-    )
-    runs = rows.filter("is_table").groupBy("file_path", "run_id").agg(F.sort_array(F.collect_list(row)).alias("rows"), F.max(state).alias("s"), F.max("last").alias("eof"))
-    tables = runs.select("file_path", F.lit("table").alias("kind"), (F.col("s.idx") + F.col("eof").cast("int")).alias("flush"), "s.sec", "s.title", "s.anc", "rows")
-    return blocks.unionByName(tables)
+    role, rows = F.col("role"), F.col("rows")
 
+    def unit(s: Column, flush: Column, a: Column, b: Column, over: Column = F.lit(False)) -> Column:
+        return F.struct(flush.cast("int").alias("flush"), s["sec"].alias("sec"), s["title"].alias("title"), s["anc"].alias("anc"), a.cast("int").alias("a"), b.cast("int").alias("b"), over.alias("over"))
 
-def split_events(rows: DataFrame, pieces: DataFrame) -> DataFrame:
-    """file_path, sec, first_split: the first line at which something other than a header cut the section."""
-    cuts = rows.filter(F.col("closes") | F.col("run_end") | ((F.col("opens") | F.col("run_start")) & F.col("buf_before"))).select("file_path", "sec", F.col("idx").alias("at"))
-    over = pieces.filter("over").select("file_path", "sec", F.col("flush").alias("at"))
-    return cuts.unionByName(over).groupBy("file_path", "sec").agg(F.min("at").alias("first_split"))
+    state, eof, close, none = F.col("s"), F.col("eof"), F.col("close"), F.lit(None)
+    flush = lambda p: F.when(p["over"], F.get(rows, p["b"])["idx"]).otherwise(state["idx"] + 1)
+    pieces = F.transform(folds.text_pieces(rows, options.max_chars), lambda p: unit(state, flush(p), p["a"], p["b"], p["over"]))
+    emit = lambda s, at: unit(s, s["idx"] + at, F.lit(0), F.size(F.filter(rows, lambda r: r["idx"] <= s["idx"] + at)) - 1)
+    ends = F.when(close.isNotNull(), emit(close, 0)).when(F.col("lost").isNull() & eof.isNotNull(), emit(eof, 1))
+    code = F.concat(F.transform("heads", lambda h: emit(h, 0)), F.array_compact(F.array(ends)))
+    table = F.array(unit(state, state["idx"] + eof.isNotNull().cast("int"), F.lit(0), F.size(rows) - 1))
+    found = F.when(role == SEGMENT, pieces).when(role == CODE, code).when(role == TABLE, table).otherwise(F.array(unit(state, none, none, none)))
+    each = groups.select("file_path", "role", "rows", "lvl", "cut", "own", F.posexplode(found).alias("sub", "u"))
+    return each.select("file_path", "role", "lvl", "cut", "own", "sub", "u.flush", "u.sec", "u.title", "u.anc", "u.over", F.slice("rows", F.col("u.a") + 1, F.col("u.b") - F.col("u.a") + 1).alias("own_rows"))
 
 
 def blocks(docs: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
     """file_path, block_seq, block_id, content, start_line, end_line, tags, is_splited, protected_element_type,
     protected_element_overlength of every block."""
-    rows = states(docs, options)
-    pieces = text_pieces(rows, options)
-    text = pieces.withColumn("t", trimmed(F.col("rows"))).filter(F.col("t").isNotNull() & ~T.heading_only(F.col("t.content")))
-    text = text.select("file_path", "sec", "title", "anc", "flush", F.lit(1).alias("rank"), "sub", F.lit(None).cast("string").alias("kind"), F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.content").alias("content"), F.lit(0).cast("long").alias("size"))
-    held = protected(rows)
-    content = T.strip(F.array_join(F.transform("rows", lambda r: r["text"]), ""))
-    size = F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + F.char_length(r["text"]))
-    held = held.select("file_path", "sec", "title", "anc", "flush", F.lit(0).alias("rank"), F.lit(0).alias("sub"), "kind", F.get("rows", F.lit(0))["idx"].alias("start"), F.get("rows", F.size("rows") - 1)["idx"].alias("end"), content.alias("content"), size.alias("size")).filter("content <> ''")
-    every = text.unionByName(held)
-    every = every.join(split_events(rows, pieces), ["file_path", "sec"], "left").join(document_tags(rows, options), "file_path", "left")
-    seen = F.filter("tags", lambda t: F.array_contains("anc", t["sec"].cast("int")) & (t["idx"] < F.col("flush")))
-    active = F.concat(F.coalesce(F.transform(seen, lambda t: t["tag"]), F.array().cast(f"array<{tags.TAG_TYPE}>")), tags.provenance(F.col("file_path"), F.col("title")))
+    each = units(gathered(states(docs, options), options), options)
+    is_text, is_section, own = F.col("role") == SEGMENT, F.col("role") == SECTION, F.col("own_rows")
+    whole = F.struct(F.get(own, F.lit(0))["idx"].alias("start"), F.get(own, F.size(own) - 1)["idx"].alias("end"), T.strip(F.array_join(F.transform(own, lambda r: r["text"]), "")).alias("content"))
+    size = F.aggregate(own, F.lit(0).cast("long"), lambda n, r: n + r["len"])
+    each = each.withColumns({"rank": F.when(is_section, -1).when(is_text, 1).otherwise(0), "t": F.when(is_text, trimmed(own)).when(~is_section, whole), "size": F.when(~is_text & ~is_section, size)}).drop("own_rows")
+    # a section's row comes before its units
+    at, section = Window.partitionBy("file_path").orderBy("sec", "rank"), Window.partitionBy("file_path", "sec")
+    told = F.when(is_section & (F.size("own") > 0), F.col("own"))
+    each = each.withColumns({f"_t{n}": c for n, c in enumerate(scope.inherited(F.col("sec"), F.col("lvl"), told, at))})
+    each = each.withColumn("first_split", F.min(F.coalesce("cut", F.when(F.col("over"), F.col("flush")))).over(section))
+    every = each.filter(~is_section & F.col("t").isNotNull() & (F.col("t.content") != "")).filter(~is_text | ~T.heading_only(F.col("t.content")))
+    seen = [F.when(F.array_contains("anc", F.col(f"_t{n}.sec").cast("int")), F.filter(F.col(f"_t{n}.told"), lambda t: (t["idx"] < F.col("flush")) & t["tag"].isNotNull())) for n in range(7)]
+    active = F.concat(F.transform(F.flatten(F.array_compact(F.array(*seen))), lambda t: t["tag"]), tags.provenance(F.col("file_path"), F.col("title")))
+    kind, start, end, content = F.when(~is_text, F.col("role")), F.col("t.start"), F.col("t.end"), F.col("t.content")
     split = F.coalesce(F.col("first_split") <= F.col("flush"), F.lit(False))
-    shift = F.when(F.col("kind").isNull(), 0).otherwise(1)
-    whole = every.select("file_path", "flush", "rank", "sub", "kind", "content", (F.col("start") + 1).alias("first"), (F.col("end") + 1).alias("last"), active.alias("tags"), split.alias("split"), (F.col("kind").isNotNull() & (F.col("size") > options.max_chars)).alias("long"), T.block_id(F.col("file_path"), F.col("start") + shift, F.col("end") + shift, F.col("content")).alias("id"))
+    shift = F.when(is_text, 0).otherwise(1)
+    whole = every.select("file_path", "flush", "rank", F.when(is_text, F.col("sub")).otherwise(0).alias("sub"), kind.alias("kind"), content.alias("content"), (start + 1).alias("first"), (end + 1).alias("last"), active.alias("tags"), split.alias("split"), (~is_text & (F.col("size") > options.max_chars)).alias("long"), T.block_id(F.col("file_path"), start + shift, end + shift, content).alias("id"))
     parts = F.when(F.col("long"), folds.chunks(F.col("kind"), F.col("content"), options.max_chars)).otherwise(F.array("content"))
     each = whole.withColumn("parts", parts).select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part"))
     number = (F.col("i") + 1).cast("string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from blockloom.functions.text import let, rfind, strip
+from blockloom.functions.text import let, strip
 
 PIECE = "array<struct<a:int,b:int,over:boolean>>"
 
@@ -80,27 +80,16 @@ def table_chunks(content: Column, max_chars: int) -> Column:
 
 
 def generic_chunks(content: Column, max_chars: int) -> Column:
-    """Windows of max_chars characters, cut back to the last newline, else the last space, beyond 70 % of the window."""
-    size = F.char_length(content)
-    least = max_chars * 0.7
-    state = F.struct(F.lit(0).alias("start"), F.array().cast("array<string>").alias("out"))
-
-    def end_of(start: Column) -> Column:
-        hard = start + max_chars
-        good = lambda at: (at > start) & (at - start > F.lit(least))
-        pick = lambda nl, sp: F.when(good(nl), nl).when(good(sp), sp).otherwise(hard)
-        return F.when(hard >= size, size).otherwise(let(rfind(content, "\n", start, max_chars), lambda nl: let(rfind(content, " ", start, max_chars), lambda sp: pick(nl, sp))))
-
-    def step(s: Column, _: Column) -> Column:
-        def add(end: Column) -> Column:
-            part = strip(F.substring(content, s["start"] + 1, end - s["start"]))
-            kept = lambda p: F.when(p != "", F.concat(s["out"], F.array(p))).otherwise(s["out"])
-            return F.struct(end.alias("start"), let(part, kept).alias("out"))
-
-        return F.when(s["start"] >= size, s).otherwise(let(end_of(s["start"]), add))
-
-    rounds = F.sequence(F.lit(1), (size / F.lit(max(1, int(least)))).cast("int") + 2)
-    return F.when(size <= max_chars, F.array(content)).otherwise(F.aggregate(rounds, state, step, lambda s: s["out"]))
+    """Windows of max_chars characters, cut back to the last newline, else the last space, beyond 70 % of the window.
+
+    One pass of a pattern, as each match begins where the last one ended: the rest, if it fits; else the longest window that
+    such a mark follows; else a whole window.
+    """
+    least = int(max_chars * 0.7) + 1
+    back = [f".{{{least},{max_chars - 1}}}(?={mark})" for mark in (r"\n", " ")] if least < max_chars else []
+    window = "(?s)" + "|".join([f".{{1,{max_chars}}}\\z", *back, f".{{{max_chars}}}"])
+    parts = F.filter(F.transform(F.regexp_extract_all(content, F.lit(window), F.lit(0)), strip), lambda p: p != "")
+    return F.when(F.char_length(content) <= max_chars, F.array(content)).otherwise(parts)
 
 
 def chunks(kind: Column, content: Column, max_chars: int) -> Column:

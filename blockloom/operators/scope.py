@@ -30,6 +30,26 @@ def protect(rows: DataFrame, mode: str) -> DataFrame:
     return out.withColumns(cleared | {"header_level": F.when(F.col("inside"), 0).otherwise(F.col("header_level"))}).drop("inside")
 
 
+def inherited(sec: Column, lvl: Column, told: Column, at, until: int = 0) -> list[Column]:
+    """For each level, struct (sec, told) of the last row with a `told` at that level: if a section of that level is in force,
+    and has any, it is that section's."""
+    own = F.struct(sec.alias("sec"), told.alias("told"))
+    frame = at.rowsBetween(Window.unboundedPreceding, until)
+    return [F.last(F.when(told.isNotNull() & (lvl == n), own), ignorenulls=True).over(frame) for n in range(7)]
+
+
+def active_tags(rows: DataFrame, tag: Column) -> DataFrame:
+    """Adds active: tags of the line's section so far, this line's included, after those of the sections above, by level."""
+    at = Window.partitionBy("file_path").orderBy("sec", "idx")
+    section = Window.partitionBy("file_path", "sec").orderBy("idx")
+    out = rows.withColumn("own", F.collect_list(tag).over(section.rowsBetween(Window.unboundedPreceding, 0)))
+    ended = F.lead("idx").over(section).isNull()
+    out = out.withColumn("told", F.when(ended & (F.size("own") > 0), F.col("own")))
+    out = out.withColumns({f"_t{n}": c for n, c in enumerate(inherited(F.col("sec"), F.col("lvl"), F.col("told"), at, -1))})
+    above = [F.when((F.col(f"_t{n}.sec") != F.col("sec")) & F.array_contains("anc", F.col(f"_t{n}.sec").cast("int")), F.col(f"_t{n}.told")) for n in range(7)]
+    return out.withColumn("active", F.flatten(F.array_compact(F.array(*above, F.col("own"))))).drop("own", "told", *(f"_t{n}" for n in range(7)))
+
+
 def headings(rows: DataFrame) -> DataFrame:
     """Adds sec (headers so far), lvl, title and anc (the sections whose tags are in force, 0 first)."""
     head = F.col("is_header")

@@ -62,10 +62,9 @@ def heading_path(spark, sf):
 
 def _active_tags(spark, sf, *names):
     """Tags in force at each text line: those of its section and of all sections above, parsed before it."""
-    state = scope.headings(_lines(spark, sf, *names))
-    own = state.filter("not is_tag and not is_header").join(blocks.document_tags(state), "file_path", "left")
-    seen = F.filter("tags", lambda t: F.array_contains("anc", t["sec"].cast("int")) & (t["idx"] < F.col("idx")))
-    return own.select("file_path", F.col("idx").cast("long").alias("idx"), F.array_join(F.transform(F.coalesce(seen, F.array()), lambda t: _tag_text(t["tag"])), ";").alias("tags"))
+    tag = F.when(F.col("is_tag"), tags.parse_tag(F.col("clean_text")))
+    state = scope.active_tags(scope.headings(_lines(spark, sf, *names)), tag).filter("not is_tag and not is_header")
+    return state.select("file_path", F.col("idx").cast("long").alias("idx"), F.array_join(F.transform("active", _tag_text), ";").alias("tags"))
 
 
 def active_tags(spark, sf):

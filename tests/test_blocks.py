@@ -1,10 +1,13 @@
 """Blocks: the sample document's known result, and hand-made cases."""
 
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from blockloom.config import ParserOptions
+from blockloom.operators import folds
 from blockloom.operators.blocks import blocks
 from blockloom.plans.pipeline import parse
 
@@ -125,3 +128,47 @@ def test_one_exchange_for_scope(spark):
 
     plan = states(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_one_scan_and_one_exchange_for_blocks(spark, tmp_path):
+    spark.createDataFrame([("f", "# a\nx\n| t |\n")], "file_path string, text string").write.parquet(str(tmp_path / "docs"))
+    plan = blocks(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_tags_of_levels_that_come_again(spark):
+    """Tags of a section end with it, those of sections above stay, also where a level is left out or comes again."""
+    text = "#top\n# A\n#a/1\n### C\n#c/1\nx\n## B\n#b/1\ny\n#b/2\n# D\nz\n## B\n#?p/q\nw\n"
+    top, seed = ("topic", "top"), ("seed", "p/q")
+    found = [(content, [t for t in own if t[0] != "title"]) for _, _, content, _, _, own in run(spark, text)]
+    assert found == [
+        ("### C\nx", [top, ("a", "1"), ("c", "1")]), ("## B\ny", [top, ("a", "1"), ("b", "1"), ("b", "2")]),
+        ("# D\nz", [top]), ("## B\nw", [top, seed]),
+    ]
+
+
+def greedy(text, limit):
+    """generic_chunks, character by character."""
+    if len(text) <= limit:
+        return [text]
+    out, start = [], 0
+    while start < len(text):
+        end = min(len(text), start + limit)
+        if start + limit < len(text):
+            for mark in "\n ":
+                at = text.rfind(mark, start, end)
+                if at - start > limit * 0.7 and at > start:
+                    end = at
+                    break
+        out.append(text[start:end].strip())
+        start = end
+    return [p for p in out if p]
+
+
+def test_generic_chunks_against_brute_force(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choices(["a", "bc", " ", "\n", "\U0001f600", "\u00e9", "\r", "\t"], weights=[8, 8, 3, 1, 1, 1, 0.2, 0.2], k=draw.choice([0, 3, 40, 400]))) for _ in range(120)]
+    texts += ["", " " * 50, "\n" * 21, "x" * 20, "x" * 41, "x" * 14 + "\n" + "y" * 30, "x" * 15 + " " + "y" * 3 + " " + "z" * 30]
+    for limit in (1, 2, 3, 10, 20):
+        frame = spark.createDataFrame([(t,) for t in texts], "text string")
+        assert [r.c for r in frame.select(folds.generic_chunks(F.col("text"), limit).alias("c")).collect()] == [greedy(t, limit) for t in texts]
