@@ -158,14 +158,34 @@ def split_words(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarr
     return flat, ends.astype(np.int64)
 
 
+#: Words of at most this many bytes are hashed by array operations.
+SHORT = 64
+
+
 def hash_words(flat: pa.Array, seed: int = 0) -> np.ndarray:
-    """xxh3 64-bit hash of each word as uint64; each distinct word of the batch is hashed once."""
+    """A 64-bit hash of each word as uint64; each distinct word of the batch is hashed once, eight bytes at a time."""
     if not len(flat):
         return np.zeros(0, np.uint64)
     coded = flat.dictionary_encode()
-    own = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w, seed) for w in own), np.uint64, len(own))[coded.indices.to_numpy(zero_copy_only=False)]
+    own = coded.dictionary.cast(pa.large_binary())
+    cuts = np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1]
+    raw = np.frombuffer(own.buffers()[2] or b"", np.uint8)[: cuts[-1]]
+    at, size = cuts[:-1], np.diff(cuts)
+    raw = np.concatenate([raw, np.zeros(8, np.uint8)])
+    h = mix(size.astype(np.uint64) + np.uint64(seed))
+    live = np.flatnonzero((size > 0) & (size <= SHORT))
+    done = 0
+    while len(live):
+        block = np.zeros(len(live), np.uint64)
+        for j in range(8):
+            inside = size[live] > done + j
+            block |= np.where(inside, raw[np.where(inside, at[live] + done + j, 0)], 0).astype(np.uint64) << np.uint64(8 * j)
+        h[live] = mix(h[live] * np.uint64(0x9E3779B97F4A7C15) + block)
+        done += 8
+        live = live[size[live] > done]
+    for i in np.flatnonzero(size > SHORT).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[cuts[i] : cuts[i + 1]].tobytes(), seed)
+    return h[coded.indices.to_numpy(zero_copy_only=False)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
