@@ -1,6 +1,7 @@
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,6 +135,19 @@ def test_cosine_in_blocks_of_queries(spark):
     assert len(found()) == 120 and found(limit=7) == found()
 
 
+def test_cosine_by_matrices_is_the_exact_order(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-3, 4, (300, 6)).astype(float).tolist() + [[1.0, 2.0, 3.0, 0.0, 0.0, 1.0]] * 40 + [[0.0] * 6, None, [1.0, 2.0], [float("nan")] * 6, [None, 1.0, 1.0, 1.0, 1.0, 1.0], []]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "block_id bigint, embedding array<float>").repartition(3)
+    asked = table.filter("block_id % 7 = 0 or block_id > 338").selectExpr("block_id as query_id", "embedding as query")
+    rows = table.selectExpr("block_id as id", "embedding as v")
+    every = store._by_expressions(rows, asked).selectExpr("query_id", "id", "score", "row_number() over (partition by query_id order by score desc, id) as rank").filter("rank <= 5")
+    got = store.cosine_topk(table, asked, 5)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, every.collect()))
+    usual = store.cosine_topk(table.filter("block_id < 340"), asked.filter("query_id < 340"), 5)
+    assert "NestedLoop" not in usual._jdf.queryExecution().toString() and "MapInArrow" in usual._jdf.queryExecution().toString()
+
+
 def test_embed_status_embeds_the_text_of_turns(spark, tmp_path, monkeypatch):
     turns = [(1, 1, "u", "first words"), (1, 2, "a", None), (2, 1, "u", "others")]
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
