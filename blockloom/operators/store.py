@@ -43,8 +43,6 @@ def new_records(records: DataFrame, existing: DataFrame) -> DataFrame:
 
 #: Stored rows that are held against the queries at once, and products in one step.
 ROWS, STEP = 4096, 1 << 21
-#: How far a product of unit vectors by matrix operations may lie from the score summed in order.
-SLACK = 1e-9
 
 
 def cosine_topk(table: DataFrame, queries: DataFrame, k: int, id_col: str = "block_id", vec_col: str = "embedding", limit: int = 100_000) -> DataFrame:
@@ -73,7 +71,7 @@ def _in_order(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     norm = np.sqrt(_in_order(x, x))
-    return norm, x / np.where(norm > 0, norm, 1.0)[:, None]
+    return norm, (x / np.where(norm > 0, norm, 1.0)[:, None]).astype(np.float32)
 
 
 def _best(query: np.ndarray, key: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -136,14 +134,15 @@ def _scan(held, ids: pa.Array, x: np.ndarray, q: np.ndarray, qn: np.ndarray, qu:
     mine = np.sort(_best(same, rank, np.zeros(len(x)), k))
     ids, x = ids.take(pa.array(mine)), x[mine]
     xn, xu = _unit(x)
+    slack = 1.2e-7 * (x.shape[1] + 8)  # more than rounding of single-precision products of unit vectors can amount to
     hit_q, hit_x = [], []
     step = max(1, STEP // max(len(x), 1))
     for a in range(0, len(q), step):
         near = qu[a : a + step] @ xu.T
         bar = least[a : a + step]
-        if len(x) > k:
-            bar = np.maximum(bar, np.where((near >= bar[:, None]).any(axis=1), _kth(near, bar, k), bar))
-        at, other = np.nonzero(near >= bar[:, None] - SLACK)
+        if held is None and len(x) > k:  # later, what has been found is bar enough
+            bar = np.partition(near, len(x) - k, axis=1)[:, len(x) - k]
+        at, other = np.nonzero(near >= (bar - 2 * slack).astype(np.float32)[:, None])
         hit_q.append(at + a)
         hit_x.append(other)
     at, other = np.concatenate(hit_q), np.concatenate(hit_x)
@@ -164,11 +163,3 @@ def _scan(held, ids: pa.Array, x: np.ndarray, q: np.ndarray, qn: np.ndarray, qu:
     np.minimum.at(low := np.full(len(q), np.inf), query, score)
     least[full] = low[full]
     return least, query, ids, score
-
-
-def _kth(near: np.ndarray, bar: np.ndarray, k: int) -> np.ndarray:
-    """The k-th largest product of each row that has one at its bar; others keep their bar."""
-    out = bar.copy()
-    some = np.flatnonzero((near >= bar[:, None]).any(axis=1))
-    out[some] = np.maximum(out[some], np.partition(near[some], near.shape[1] - k, axis=1)[:, near.shape[1] - k])
-    return out
