@@ -111,8 +111,8 @@ def unpacked(data, n: int) -> tuple[np.ndarray, ...]:
 PACKED = "kind tinyint, bucket int, n bigint, data binary"
 
 
-def counts(docs: DataFrame, least: int, buckets: int) -> DataFrame:
-    """Packed sums (counts) of all unigrams, and of the bigrams with `least` or more; a bucket's in one row or a few."""
+def counts(docs: DataFrame, least: int, buckets: int, pairs: bool = True) -> DataFrame:
+    """Packed sums (counts) of all unigrams, and (pairs) of the bigrams with `least` or more; a bucket's in one row or a few."""
 
     def count(batches):
         uni, bi = Tally(), Tally()
@@ -126,12 +126,15 @@ def counts(docs: DataFrame, least: int, buckets: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 h, ends = tokens(part.column("text"))
-                before = histories(h, ends)
-                key, first, n = np.unique(bigrams(h, before), return_index=True, return_counts=True)
-                bi.add(key, n.astype(np.float64), before[first])
+                if pairs:
+                    before = histories(h, ends)
+                    key, first, n = np.unique(bigrams(h, before), return_index=True, return_counts=True)
+                    bi.add(key, n.astype(np.float64), before[first])
                 key, n = np.unique(h, return_counts=True)
                 uni.add(key, n.astype(np.float64))
-                if bi.many > COMBINED:
+                if not pairs and uni.many > COMBINED:
+                    uni.combined()
+                if bi.many > COMBINED or uni.many > COMBINED:
                     yield from out()
         yield from out()
 
@@ -221,6 +224,17 @@ class LogFrequencyFilter:
         return VALUES[self.levels(keys, kind)]
 
 
+class Words:
+    """The distinct words of a slice of texts, for scores without a model."""
+
+    def __init__(self, h: np.ndarray, ends: np.ndarray):
+        self.ends = ends
+        self.words, self.at = np.unique(h, return_inverse=True)
+
+    def score(self, levels, total: int, distinct: int) -> np.ndarray:
+        return np.zeros(len(self.at))
+
+
 class Questions:
     """The distinct keys that a slice of texts asks for, and its scores once their levels are known."""
 
@@ -404,6 +418,49 @@ def scored(parts, frequent, total: int, distinct: int):
         made += n
 
 
+def spelled(counted: DataFrame, table_size: int):
+    """The unigrams (key, n) as a table, and the `table_size` most frequent ones, broadcast."""
+
+    def spell(batches):
+        for batch in batches:
+            for n, data in zip(batch.column("n").to_pylist(), batch.column("data"), strict=True):
+                key, times, *_ = unpacked(data.as_buffer(), n)
+                yield emit(key=pa.array(key.view(np.int64)), n=pa.array(times.astype(np.int64)))
+
+    words = store(counted.filter(F.col("kind") == UNI).mapInArrow(spell, "key bigint, n bigint"), "words")
+    top = words.orderBy(F.desc("n"), "key").limit(table_size).toArrow()  # table_size rows at most
+    key, n = (top.column(c).to_numpy() for c in ("key", "n"))
+    order = np.argsort(key)
+    return words, words.sparkSession.sparkContext.broadcast((key[order], n[order]))
+
+
+def with_rare(found: DataFrame, words: DataFrame, total: int, distinct: int) -> DataFrame:
+    """SCORED rows with the share of their rare words."""
+    n, size = F.coalesce("n", F.lit(0)), total + 0.1 * (distinct + 1)
+    rare = found.filter(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
+    rare = rare.join(words, "key", "left").groupBy("row").agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10((n + 0.1) / size)).alias("more_base"))
+    return found.join(rare, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score"
+    )
+
+
+def base(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", table_size: int = 1 << 19) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score for every row, as `score` gives them: without the model, and so
+    without bigrams and without a filter."""
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    counted = store(counts(docs.filter(train).select(F.col(text_col).cast("string").alias("text")), 1, partitions(docs), pairs=False), "word-counts")
+    total, distinct, _ = summed(counted)
+    words, frequent = spelled(counted, table_size)
+    drop(counted, shuffles=True)
+
+    def run(batches):
+        parts = ((part, Words(*tokens(part.column("text"))), None) for batch in batches for part in slices(batch))
+        return scored(parts, frequent.value, total, distinct)
+
+    return with_rare(store(rows.mapInArrow(run, SCORED), "scored"), words, total, distinct).drop("score")
+
+
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", least: int = 2, filter_bytes: int = 64 << 20, table_size: int = 1 << 19, groups: int = 8) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row; `train` picks the training rows."""
     spark = docs.sparkSession
@@ -418,18 +475,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     segments = buckets * each
     filled = store(fill(entries, buckets, each), "segments")
 
-    def spelled(batches):
-        for batch in batches:
-            for n, data in zip(batch.column("n").to_pylist(), batch.column("data"), strict=True):
-                key, times, *_ = unpacked(data.as_buffer(), n)
-                yield emit(key=pa.array(key.view(np.int64)), n=pa.array(times.astype(np.int64)))
-
-    words = store(counted.filter(F.col("kind") == UNI).mapInArrow(spelled, "key bigint, n bigint"), "words")
+    words, frequent = spelled(counted, table_size)
     drop(counted, mass, shuffles=True)
-    top = words.orderBy(F.desc("n"), "key").limit(table_size).toArrow()  # table_size rows at most
-    key, n = (top.column(c).to_numpy() for c in ("key", "n"))
-    order = np.argsort(key)
-    frequent = spark.sparkContext.broadcast((key[order], n[order]))
 
     if segments * SEGMENT_BITS // 8 <= filter_bytes:
         shared = spark.sparkContext.broadcast(gathered(filled, segments))
@@ -451,12 +498,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         for more in done[1:]:
             found = found.union(more)
     drop(filled)
-    n, size = F.coalesce("n", F.lit(0)), total + 0.1 * (distinct + 1)
-    rare = found.filter(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times"))
-    rare = rare.join(words, "key", "left").groupBy("row").agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10((n + 0.1) / size)).alias("more_base"))
-    return found.join(rare, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score"
-    )
+    return with_rare(found, words, total, distinct)
 
 
 def _by_block(rows: DataFrame, filled: DataFrame, segments: int, each: int, frequent, total: int, distinct: int) -> DataFrame:

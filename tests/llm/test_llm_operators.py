@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, secrets, substring_dedup, token_counts
+from blockloom.llm import decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_fm, quality_rules, queries, secrets, substring_dedup, token_counts
 from blockloom.llm.common import hash_words, held_out, row_key, slices, split_words
 from blockloom.llm.components import components
 from blockloom.llm.queries import BYTE_BPE, WORD_BPE, vocabulary
@@ -96,6 +96,18 @@ def test_lm_scoring(docs, empty):
     assert lm_scoring.score(empty, ~held_out("doc_id", 10, 0)).count() == 0
 
 
+def test_lm_base_needs_no_model(spark, docs, empty, monkeypatch):
+    train = ~held_out("doc_id", 10, 0)
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 9).alias("base_score")]
+    expected = sorted(map(repr, lm_scoring.score(docs, train, table_size=20).select(*columns).collect()))
+    monkeypatch.setattr(lm_scoring, "fill", lambda *a: 1 / 0)
+    monkeypatch.setattr(lm_scoring, "masses", lambda *a: 1 / 0)
+    assert sorted(map(repr, lm_scoring.base(docs, train, table_size=20).select(*columns).collect())) == expected
+    assert lm_scoring.base(empty, train).count() == 0
+    monkeypatch.setattr(queries, "table", lambda *a: docs)
+    assert queries.lm_scoring_base(spark, "").count() == docs.count()
+
+
 def test_lm_scoring_by_row(spark):
     """Rows without an id, or that share one, are scored for themselves; the score is that of the smoothed model."""
     rows = [(None, "a b c"), (None, "x y"), (7, "a b c a b c"), (7, None), (-1, "a b"), (-1, "a b")]
