@@ -91,17 +91,9 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of a plan's input by Catalyst's statistics (file sizes for stored tables)."""
-    try:
-        return min(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()), 1 << 50)
-    except Exception:  # noqa: BLE001  statistics are a hint only
-        return 0
-
-
 def partitions(df: DataFrame, bytes_each: int = 24 << 20) -> int:
     """Shuffle partitions for df: the session's number, more where its input is large."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(input_bytes(df) / bytes_each))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(runtime.input_bytes(df) / bytes_each))
 
 
 def fold(doc_id: str | Column, mod: int) -> Column:

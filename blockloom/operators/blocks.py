@@ -1,6 +1,6 @@
 """Blocks: text pieces and protected elements with their tags, flags, ids and line ranges.
 
-The input is scanned once and exchanged once, by file_path. Each line then tells the groups it belongs to (its section, buffer
+The input is scanned once and exchanged once, by file_path, as whole documents. Each line then tells the groups it belongs to (its section, buffer
 segment, code block, table run), and one grouping makes their units; sections hand cuts and tags to units by windows. As
 all keys and windows begin with file_path, none of this needs a further exchange. No join, no union.
 """
@@ -14,12 +14,12 @@ from pyspark.sql.window import Window
 from blockloom.config import ParserOptions
 from blockloom.functions import text as T
 from blockloom.operators import folds, scope, tags
-from blockloom.operators.rows import classify, lines
+from blockloom.operators.rows import classify, lines, spread
 
 
 def states(docs: DataFrame, options: ParserOptions = ParserOptions()) -> DataFrame:
     """Classified lines with heading, code, table and buffer state."""
-    return scope.elements(scope.headings(scope.protect(classify(lines(docs)), options.mode)))
+    return scope.elements(scope.headings(scope.protect(classify(lines(spread(docs))), options.mode)))
 
 
 #: Roles of a group.

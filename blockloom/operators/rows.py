@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blockloom import runtime
 from blockloom.functions import text as T
 
 
+#: Input (files, as stored) for each partition of documents: their lines and states are many times as large, and are sorted.
+SPREAD_BYTES = 4 << 20
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    """docs exchanged by file_path, so that their lines, which are many times as large, need no further exchange."""
+    spark = docs.sparkSession
+    few = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return docs.repartition(max(few, -(-runtime.input_bytes(docs) // SPREAD_BYTES)), "file_path")
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """file_path, idx (0-based), text (with its newline) of every line; a final newline gives no empty last line."""
     split = F.split(T.universal_newlines(F.coalesce(F.col("text"), F.lit(""))), "\n")

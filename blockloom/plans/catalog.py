@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,12 @@ def _lines(spark, sf, *names):
     return out
 
 
+def _headed(spark, sf, *names):
+    """Lines with their headings: documents are exchanged, not lines."""
+    docs = functools.reduce(DataFrame.union, (corpus(spark, sf, n) for n in names))
+    return scope.headings(rows.classify(rows.lines(rows.spread(docs))))
+
+
 def _tag_text(tag):
     return F.concat_ws("=", tag["key"], tag["value"])
 
@@ -57,13 +64,13 @@ def tags_excluded(spark, sf):
 
 
 def heading_path(spark, sf):
-    return scope.headings(_lines(spark, sf, "conversations", "orders")).select("file_path", F.col("idx").cast("long").alias("idx"), F.col("sec").cast("long").alias("sec"), F.col("lvl").cast("long").alias("lvl"), "title")
+    return _headed(spark, sf, "conversations", "orders").select("file_path", F.col("idx").cast("long").alias("idx"), F.col("sec").cast("long").alias("sec"), F.col("lvl").cast("long").alias("lvl"), "title")
 
 
 def _active_tags(spark, sf, *names):
     """Tags in force at each text line: those of its section and of all sections above, parsed before it."""
     tag = F.when(F.col("is_tag"), tags.parse_tag(F.col("clean_text")))
-    state = scope.active_tags(scope.headings(_lines(spark, sf, *names)), tag).filter("not is_tag and not is_header")
+    state = scope.active_tags(_headed(spark, sf, *names), tag).filter("not is_tag and not is_header")
     return state.select("file_path", F.col("idx").cast("long").alias("idx"), F.array_join(F.transform("active", _tag_text), ";").alias("tags"))
 
 
@@ -72,7 +79,7 @@ def active_tags(spark, sf):
 
 
 def nested_titles(spark, sf):
-    return scope.headings(_lines(spark, sf, "nested")).select("file_path", F.col("idx").cast("long").alias("idx"), F.col("sec").cast("long").alias("sec"), F.col("lvl").cast("long").alias("lvl"), "title")
+    return _headed(spark, sf, "nested").select("file_path", F.col("idx").cast("long").alias("idx"), F.col("sec").cast("long").alias("sec"), F.col("lvl").cast("long").alias("lvl"), "title")
 
 
 def nested_tags(spark, sf):
@@ -85,23 +92,23 @@ def nested_blocks(spark, sf):
 
 
 def table_runs(spark, sf):
-    state = scope.elements(scope.headings(_lines(spark, sf, "orders")))
+    state = scope.elements(_headed(spark, sf, "orders"))
     return state.filter("is_table").groupBy("file_path", "run_id").agg(F.count("*").alias("n_rows"), F.max("idx").cast("long").alias("last_line")).withColumn("run_id", F.col("run_id").cast("long"))
 
 
 def code_groups(spark, sf):
-    state = scope.elements(scope.headings(_lines(spark, sf, "pages")))
+    state = scope.elements(_headed(spark, sf, "pages"))
     inside = state.filter(F.col("opens") | F.col("closes") | (F.col("plain") & F.col("in_code")))
     return inside.groupBy("file_path", F.col("gid").cast("long").alias("gid")).agg(F.count("*").alias("n_rows"), F.sum(F.char_length("text")).alias("chars"))
 
 
 def segments(spark, sf):
-    state = scope.elements(scope.headings(_lines(spark, sf, "conversations", "orders", "pages")))
+    state = scope.elements(_headed(spark, sf, "conversations", "orders", "pages"))
     return state.filter("buf").groupBy("file_path", F.col("seg").cast("long").alias("seg")).agg(F.count("*").alias("n_rows"), F.sum(F.char_length("text")).alias("chars"), F.min("idx").cast("long").alias("first_line"))
 
 
 def _pieces(spark, sf, *names):
-    state = scope.elements(scope.headings(_lines(spark, sf, *names)))
+    state = scope.elements(_headed(spark, sf, *names))
     return blocks.segments(state).withColumn("pieces", folds.text_pieces(F.col("rows"), OPTIONS.max_chars)).select("file_path", F.col("seg").cast("long").alias("seg"), "rows", F.posexplode("pieces").alias("i", "p"))
 
 
@@ -115,7 +122,7 @@ def code_chunks(spark, sf):
 
 
 def _order_tables(spark, sf):
-    state = scope.elements(scope.headings(_lines(spark, sf, "orders")))
+    state = scope.elements(_headed(spark, sf, "orders"))
     runs = state.filter("is_table").groupBy("file_path", "run_id").agg(F.sort_array(F.collect_list(F.struct("idx", "text"))).alias("r"))
     return runs.select("file_path", T.strip(F.array_join(F.transform("r", lambda x: x["text"]), "")).alias("content"), F.get("r", F.lit(0))["idx"].alias("first"), F.get("r", F.size("r") - 1)["idx"].alias("last"))
 
@@ -164,7 +171,7 @@ def blocks_code(spark, sf):
 
 
 def heading_only_discarded(spark, sf):
-    state = scope.elements(scope.headings(_lines(spark, sf, "orders")))
+    state = scope.elements(_headed(spark, sf, "orders"))
     kept = blocks.segments(state).withColumn("t", blocks.trimmed(F.col("rows")))
     return kept.agg(F.count_if(T.heading_only(F.col("t.content"))).alias("discarded"), F.count_if(~T.heading_only(F.col("t.content"))).alias("kept"))
 

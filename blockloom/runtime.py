@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -26,3 +26,10 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(base, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(path)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables that a plan reads, as stored; 0 for one without statistics (which counts as endless)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 45)

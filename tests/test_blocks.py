@@ -130,6 +130,24 @@ def test_one_exchange_for_scope(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_documents_are_exchanged_and_not_lines(spark, tmp_path):
+    from blockloom import runtime
+    from blockloom.operators import rows
+    from blockloom.operators.blocks import states
+
+    spark.createDataFrame([(str(i), "# a\nx\n" * 50) for i in range(200)], "file_path string, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    plan = states(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange hashpartitioning")  # plans read from the end to the start
+    size = runtime.input_bytes(docs)
+    assert 1000 < size < 1 << 30 and runtime.input_bytes(spark.createDataFrame([(1,)], "x int")) == 0
+    monkey, rows.SPREAD_BYTES = rows.SPREAD_BYTES, size // 50
+    try:
+        assert rows.spread(docs).rdd.getNumPartitions() >= 50  # grows with the input
+    finally:
+        rows.SPREAD_BYTES = monkey
+
+
 def test_one_scan_and_one_exchange_for_blocks(spark, tmp_path):
     spark.createDataFrame([("f", "# a\nx\n| t |\n")], "file_path string, text string").write.parquet(str(tmp_path / "docs"))
     plan = blocks(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
