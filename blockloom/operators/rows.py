@@ -9,15 +9,18 @@ from blockloom import runtime
 from blockloom.functions import text as T
 
 
-#: Input (files, as stored) for each partition of documents: their lines and states are many times as large, and are sorted.
-SPREAD_BYTES = 4 << 20
+#: Input (files, as stored, and rows of tables, which may be stored in very few bytes) for each partition of documents: their
+#: lines and states are many times as large, and are sorted.
+SPREAD_BYTES, SPREAD_ROWS = 4 << 20, 1 << 16
 
 
 def spread(docs: DataFrame) -> DataFrame:
-    """docs exchanged by file_path, so that their lines, which are many times as large, need no further exchange."""
+    """docs exchanged by file_path, so that their lines, which are many times as large, need no further exchange; and in its order,
+    so that the lines are made in the order in which they are sorted next."""
     spark = docs.sparkSession
     few = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return docs.repartition(max(few, -(-runtime.input_bytes(docs) // SPREAD_BYTES)), "file_path")
+    many = max(few, -(-runtime.input_bytes(docs) // SPREAD_BYTES), -(-runtime.input_rows(docs) // SPREAD_ROWS))
+    return docs.repartition(many, "file_path").sortWithinPartitions("file_path")
 
 
 def lines(docs: DataFrame) -> DataFrame:

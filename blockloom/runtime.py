@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import urllib.parse
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,3 +35,11 @@ def input_bytes(df: DataFrame) -> int:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     return sum(n for n in sizes if n < 1 << 45)
+
+
+def input_rows(df: DataFrame) -> int:
+    """Rows of the parquet files that a plan reads, by their footers; 0 if it reads others, or paths that would be patterns."""
+    files = [urllib.parse.unquote(f) for f in df.inputFiles()]
+    if not files or any(not f.endswith(".parquet") or re.search(r"[*?\[\]{}\\]", f) for f in files):
+        return 0
+    return df.sparkSession.read.parquet(*files).count()

@@ -148,6 +148,20 @@ def test_documents_are_exchanged_and_not_lines(spark, tmp_path):
         rows.SPREAD_BYTES = monkey
 
 
+def test_partitions_follow_rows_that_take_few_bytes(spark, tmp_path, monkeypatch):
+    from blockloom import runtime
+    from blockloom.operators import rows
+
+    at = str(tmp_path / "a b" / "docs.parquet")
+    spark.range(5000).selectExpr("concat('f', id) AS file_path", "'# a\\nx\\n' AS text").write.parquet(at)
+    docs = spark.read.parquet(at)
+    assert runtime.input_rows(docs) == 5000 and runtime.input_rows(docs.union(docs)) in (5000, 10000)
+    assert runtime.input_rows(spark.createDataFrame([(1,)], "x int")) == 0
+    monkeypatch.setattr(rows, "SPREAD_ROWS", 100)
+    assert runtime.input_bytes(docs) < rows.SPREAD_BYTES and rows.spread(docs).rdd.getNumPartitions() >= 50
+    assert rows.lines(rows.spread(docs)).count() == 10000
+
+
 def test_one_scan_and_one_exchange_for_blocks(spark, tmp_path):
     spark.createDataFrame([("f", "# a\nx\n| t |\n")], "file_path string, text string").write.parquet(str(tmp_path / "docs"))
     plan = blocks(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
