@@ -20,8 +20,14 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, EDGE, "")
 
 
+def strip_line(c: Column) -> Column:
+    """strip(c), where a line that is nothing but printable ASCII at both ends, before its newline, needs no pattern."""
+    body = F.when(c.endswith("\n"), F.substring(c, F.lit(1), F.char_length(c) - 1)).otherwise(c)
+    return F.when(F.ascii(body).between(33, 126) & F.ascii(F.substring(body, -1, 1)).between(33, 126), body).otherwise(strip(c))
+
+
 def universal_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, "\r\n?", "\n")
+    return F.when(c.contains("\r"), F.regexp_replace(c, "\r\n?", "\n")).otherwise(c)
 
 
 def let(value: Column, use) -> Column:

@@ -32,10 +32,12 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def classify(rows: DataFrame) -> DataFrame:
-    """Adds clean_text, is_code_fence, is_header, header_level, is_tag, is_table; a fence is nothing else, nor a header."""
-    out = rows.withColumn("stripped", T.strip(F.col("text")))
-    fence = F.col("text").rlike(T.FENCE)
-    header = ~F.col("is_code_fence") & F.col("stripped").rlike(T.HEADER)
+    """Adds clean_text, is_code_fence, is_header, header_level, is_tag, is_table; a fence is nothing else, nor a header. What every
+    match of a pattern has is looked for first, as patterns that know Unicode are slow."""
+    out = rows.withColumn("stripped", T.strip_line(F.col("text")))
+    fence = (F.col("text").contains("```") | F.col("text").contains("~~~")) & F.col("text").rlike(T.FENCE)
+    marked, barred = F.col("stripped").startswith("#"), F.col("stripped").startswith("|")
+    header = ~F.col("is_code_fence") & marked & F.col("stripped").rlike(T.HEADER)
     plain = ~F.col("is_code_fence") & ~F.col("is_header")
     return (
         out.withColumn("is_code_fence", fence)
@@ -44,8 +46,8 @@ def classify(rows: DataFrame) -> DataFrame:
             {
                 "header_level": F.when(F.col("is_header"), F.char_length(F.regexp_extract("stripped", T.HEADER, 1))).otherwise(0),
                 "clean_text": F.when(F.col("is_header"), T.strip(F.regexp_extract("stripped", T.HEADER, 2))).otherwise(F.col("stripped")),
-                "is_tag": plain & F.col("stripped").rlike(T.TAG),
-                "is_table": plain & F.col("stripped").rlike(T.TABLE),
+                "is_tag": plain & marked & F.col("stripped").rlike(T.TAG),
+                "is_table": plain & barred & F.col("stripped").rlike(T.TABLE),
             }
         )
         .select("file_path", "idx", "text", "clean_text", "is_header", "header_level", "is_tag", "is_code_fence", "is_table")
