@@ -52,14 +52,17 @@ def active_tags(rows: DataFrame, tag: Column) -> DataFrame:
 
 def headings(rows: DataFrame) -> DataFrame:
     """Adds sec (headers so far), lvl, title and anc (the sections whose tags are in force, 0 first)."""
-    head = F.col("is_header")
-    out = rows.withColumn("sec", running(head)).withColumn("lvl", F.coalesce(latest(head, F.col("header_level")), F.lit(0)))
-    here = F.struct(F.col("header_level").alias("l"), F.col("clean_text").alias("t"), F.col("sec").alias("s"))
-    out = out.withColumns({f"_h{n}": latest(head & (F.col("header_level") <= n), here) for n in range(1, 7)})
-    slot = lambda n, field: F.when(F.col(f"_h{n}.l") == n, F.col(f"_h{n}.{field}"))
-    title = F.array_join(F.slice(F.array(*(slot(n, "t") for n in range(1, 7))), F.lit(1), F.col("lvl")), "/", "null")
-    anc = F.array_compact(F.slice(F.array(F.lit(0), *(slot(n, "s").cast("int") for n in range(1, 7))), F.lit(1), F.col("lvl") + 1))
-    return out.withColumns({"title": title, "anc": anc}).drop(*(f"_h{n}" for n in range(1, 7)))
+    head, level, upto = F.col("is_header"), F.col("header_level"), range(1, 7)
+    # at level n, the last header of n or above: its text after a mark, or nothing if it is above. One window makes these with sec
+    # and lvl, and another, if anc is asked for, the same of sections; plain values, as structs are copied for each line.
+    texts = {f"_h{n}": latest(head & (level <= n), F.when(level == n, F.concat(F.lit("#"), F.col("clean_text"))).otherwise("")) for n in upto}
+    out = rows.withColumns({"sec": running(head), "lvl": F.coalesce(latest(head, level), F.lit(0))} | texts)
+    out = out.withColumns({f"_s{n}": latest(head & (level <= n), F.when(level == n, F.col("sec")).otherwise(-1)) for n in upto})
+    text = lambda n: F.when(F.col(f"_h{n}") != "", F.substring(f"_h{n}", 2, 1 << 30))
+    section = lambda n: F.when(F.col(f"_s{n}") >= 0, F.col(f"_s{n}").cast("int"))
+    title = F.array_join(F.slice(F.array(*(text(n) for n in upto)), F.lit(1), F.col("lvl")), "/", "null")
+    anc = F.array_compact(F.slice(F.array(F.lit(0), *(section(n) for n in upto)), F.lit(1), F.col("lvl") + 1))
+    return out.withColumns({"title": title, "anc": anc}).drop(*(f"_h{n}" for n in upto), *(f"_s{n}" for n in upto))
 
 
 def elements(rows: DataFrame) -> DataFrame:
