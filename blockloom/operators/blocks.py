@@ -93,7 +93,7 @@ def units(groups: DataFrame, options: ParserOptions) -> DataFrame:
     code = F.concat(F.transform("heads", lambda h: emit(h, 0)), F.array_compact(F.array(ends)))
     table = F.array(unit(state, state["idx"] + eof.isNotNull().cast("int"), F.lit(0), F.size(rows) - 1))
     found = F.when(role == SEGMENT, pieces).when(role == CODE, code).when(role == TABLE, table).otherwise(F.array(unit(state, none, none, none)))
-    each = groups.select("file_path", "role", "rows", "lvl", "cut", "own", F.posexplode(found).alias("sub", "u"))
+    each = folds.each(groups, ("file_path", "role", "rows", "lvl", "cut", "own"), found, "sub", "u")
     return each.select("file_path", "role", "lvl", "cut", "own", "sub", "u.flush", "u.sec", "u.title", "u.anc", "u.over", F.slice("rows", F.col("u.a") + 1, F.col("u.b") - F.col("u.a") + 1).alias("own_rows"))
 
 
@@ -118,7 +118,7 @@ def blocks(docs: DataFrame, options: ParserOptions = ParserOptions()) -> DataFra
     shift = F.when(is_text, 0).otherwise(1)
     whole = every.select("file_path", "flush", "rank", F.when(is_text, F.col("sub")).otherwise(0).alias("sub"), kind.alias("kind"), content.alias("content"), (start + 1).alias("first"), (end + 1).alias("last"), active.alias("tags"), split.alias("split"), (~is_text & (F.col("size") > options.max_chars)).alias("long"), T.block_id(F.col("file_path"), start + shift, end + shift, content).alias("id"))
     parts = F.when(F.col("long"), folds.chunks(F.col("kind"), F.col("content"), options.max_chars)).otherwise(F.array("content"))
-    each = whole.withColumn("parts", parts).select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part"))
+    each = folds.each(whole.withColumn("parts", parts), ("*", F.size("parts").alias("n")), "parts", "i", "part")
     number = (F.col("i") + 1).cast("string")
     start, end = folds.chunk_lines(F.col("first"), F.col("last"), F.col("content"), F.col("part"), F.col("i"), F.col("n"))
     order = Window.partitionBy("file_path").orderBy("flush", "rank", "sub", "first", "i")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.functions.text import let, strip
@@ -10,6 +10,12 @@ from blockloom.functions.text import let, strip
 PIECE = "array<struct<a:int,b:int,over:boolean>>"
 
 
+def each(df: DataFrame, keep: tuple, parts: str | Column, *names: str) -> DataFrame:
+    """The kept columns with each element of parts and its place before it. A plain posexplode would have the optimizer ask, in a
+    filter of its own, whether parts has any, which computes it twice more."""
+    return df.select(*keep, F.posexplode_outer(parts).alias(*names)).filter(F.col(names[0]).isNotNull())
+
+
 def _upto(n: Column) -> Column:
     """0..n-1, empty for n = 0."""
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))

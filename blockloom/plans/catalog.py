@@ -109,7 +109,7 @@ def segments(spark, sf):
 
 def _pieces(spark, sf, *names):
     state = scope.elements(_headed(spark, sf, *names))
-    return blocks.segments(state).withColumn("pieces", folds.text_pieces(F.col("rows"), OPTIONS.max_chars)).select("file_path", F.col("seg").cast("long").alias("seg"), "rows", F.posexplode("pieces").alias("i", "p"))
+    return folds.each(blocks.segments(state).withColumn("pieces", folds.text_pieces(F.col("rows"), OPTIONS.max_chars)), ("file_path", F.col("seg").cast("long").alias("seg"), "rows"), "pieces", "i", "p")
 
 
 def text_overflow_pieces(spark, sf):
@@ -118,7 +118,7 @@ def text_overflow_pieces(spark, sf):
 
 def code_chunks(spark, sf):
     html = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
-    return html.select("page_id", F.posexplode(folds.code_chunks(F.col("html"), 450)).alias("i", "chunk")).select("page_id", F.col("i").cast("long").alias("i"), "chunk")
+    return folds.each(html, ("page_id",), folds.code_chunks(F.col("html"), 450), "i", "chunk").select("page_id", F.col("i").cast("long").alias("i"), "chunk")
 
 
 def _order_tables(spark, sf):
@@ -128,16 +128,16 @@ def _order_tables(spark, sf):
 
 
 def table_chunks(spark, sf):
-    return _order_tables(spark, sf).select("file_path", F.posexplode(folds.table_chunks(F.col("content"), 80)).alias("i", "chunk")).select("file_path", F.col("i").cast("long").alias("i"), "chunk")
+    return folds.each(_order_tables(spark, sf), ("file_path",), folds.table_chunks(F.col("content"), 80), "i", "chunk").select("file_path", F.col("i").cast("long").alias("i"), "chunk")
 
 
 def generic_chunks(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return docs.select("doc_id", F.posexplode(folds.generic_chunks(F.col("text"), 400)).alias("i", "chunk")).select("doc_id", F.col("i").cast("long").alias("i"), F.md5(F.col("chunk").cast("binary")).alias("chunk_md5"), F.char_length("chunk").cast("long").alias("chars"))
+    return folds.each(docs, ("doc_id",), folds.generic_chunks(F.col("text"), 400), "i", "chunk").select("doc_id", F.col("i").cast("long").alias("i"), F.md5(F.col("chunk").cast("binary")).alias("chunk_md5"), F.char_length("chunk").cast("long").alias("chars"))
 
 
 def subchunk_line_ranges(spark, sf):
-    each = _order_tables(spark, sf).withColumn("parts", folds.table_chunks(F.col("content"), 80)).select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part"))
+    each = folds.each(_order_tables(spark, sf).withColumn("parts", folds.table_chunks(F.col("content"), 80)), ("*", F.size("parts").alias("n")), "parts", "i", "part")
     start, end = folds.chunk_lines(F.col("first") + 1, F.col("last") + 1, F.col("content"), F.col("part"), F.col("i"), F.col("n"))
     return each.select("file_path", F.col("i").cast("long").alias("i"), start.cast("long").alias("start_line"), end.cast("long").alias("end_line"))
 

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom.config import ParserOptions
+from blockloom.functions import text as T
 from blockloom.operators import folds
 from blockloom.operators.blocks import blocks
+from blockloom.plans import catalog
 from blockloom.plans.pipeline import parse
 
 SAMPLE = """#project/demo
@@ -204,3 +206,17 @@ def test_generic_chunks_against_brute_force(spark):
     for limit in (1, 2, 3, 10, 20):
         frame = spark.createDataFrame([(t,) for t in texts], "text string")
         assert [r.c for r in frame.select(folds.generic_chunks(F.col("text"), limit).alias("c")).collect()] == [greedy(t, limit) for t in texts]
+
+
+def test_strip_line_is_strip(spark):
+    lines = ["", "\n", " ", "a", "a\n", " a b \n", "a \n", "a\t", "\x1ca\n", "a\x85\n", "\u3000x\n", "x\u00a0\n", "é\n", "aé\n", "😀\n", "| a |\n", "a\n\n", "a\r\n", "\x7f\n", "~", "!\n"]
+    df = spark.createDataFrame([(x,) for x in lines], "t string").select("t", T.strip("t").alias("a"), T.strip_line(F.col("t")).alias("b"))
+    assert [(r.t, r.b) for r in df.collect()] == [(r.t, r.a) for r in df.collect()]
+
+
+def test_folds_are_computed_once_and_titles_take_one_window(spark):
+    plan = lambda name: catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("subchunk_line_ranges", "table_chunks", "code_chunks"):
+        assert plan(name).count("aggregate(") == 1, name
+    assert plan("generic_chunks").count("regexp_extract_all(") == 1
+    assert plan("nested_titles").count("Window [") == 1
