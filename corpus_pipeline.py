@@ -16,6 +16,8 @@ from blockloom.llm.queries import BYTE_BPE, vocabulary
 
 #: A document is rejected if it has no letter, or if less than this share of its trigrams is in its best language.
 LEAST_COVER = 0.25
+#: Keys of dropped rows that are broadcast, at most; beyond them rows move to their keys.
+MOST_KEYS = 1 << 21
 
 
 def apart(docs: DataFrame, **more: Column) -> DataFrame:
@@ -39,11 +41,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     of id and text; one without an id only if all have none. Rows that repeat id and text are one. Rows without words (null
     and empty texts too) are in no group and stay, all of them. Long texts are compared whole. An empty table stays empty."""
     linked = jaccard_join.join(docs, percent=80, shingle=5).filter("n_shingles > 0")
+    linked = store(linked.select("root", "doc_id", "key"), "linked-rows")
     many = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("x")
     each = linked.groupBy("root", many).agg(F.count("*").alias("n")).groupBy("root").agg(F.min(F.struct("x", "n")).alias("y"))
     kept = store(each.select(F.col("y.x.key").alias("key"), F.col("y.n").alias("n")), "kept-rows")
     rows = apart(docs, key=row_key(), words=F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    out = rows.filter("words").join(kept.select("key"), "key", "left_semi")
+    dropped = store(linked.select("key").distinct().join(kept, "key", "left_anti"), "dropped-rows")
+    if dropped.count() <= MOST_KEYS:  # texts stay where they are
+        out = rows.filter("words").join(F.broadcast(dropped), "key", "left_anti")
+    else:
+        out = rows.filter("words").join(kept.select("key"), "key", "left_semi")
     if kept.filter("n > 1").limit(1).count():  # rows that repeat doc_id and text
         out = out.dropDuplicates(["key"])
     return together(out.select("doc").union(rows.filter("not words").select("doc")), docs)
