@@ -27,6 +27,8 @@ from blockloom.llm.tokenizing import ByteIds
 
 DIMS, BITS = 3, 16
 ODD = 0x9E3779B97F4A7C15
+#: Bytes of words that are coded at once (a code needs some eighty bytes of memory for each), and of text that is encoded at once.
+CODED_BYTES, ENCODED_BYTES = 1 << 17, 1 << 19
 
 
 def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -57,12 +59,20 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def word_codes(flat: pa.Array) -> np.ndarray:
-    """A number for each word from all of its bytes, by array operations alone: good enough to draw signs from."""
+    """A number for each word from all of its bytes, by array operations alone: good enough to draw signs from. It does not
+    depend on the words around it, so words are taken some CODED_BYTES at a time."""
     if not len(flat):
         return np.zeros(0, np.uint64)
     cuts = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
-    raw = np.frombuffer(flat.buffers()[2], np.uint8)[cuts[0] : cuts[-1]].astype(np.uint64)
-    cuts = cuts - cuts[0]
+    raw, out, a = np.frombuffer(flat.buffers()[2], np.uint8), np.empty(len(flat), np.uint64), 0
+    while a < len(flat):
+        b = max(a + 1, int(np.searchsorted(cuts, cuts[a] + CODED_BYTES, side="right")) - 1)
+        out[a:b] = _codes(raw[cuts[a] : cuts[b]].astype(np.uint64), cuts[a : b + 1] - cuts[a])
+        a = b
+    return out
+
+
+def _codes(raw: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw + np.uint64(1)) * np.multiply.accumulate(np.full(len(raw), ODD, np.uint64)), dtype=np.uint64)])
     back = np.multiply.accumulate(np.full(len(raw), pow(ODD, -1, 1 << 64), np.uint64))
     return mix((total[cuts[1:]] - total[cuts[:-1]]) * back[cuts[:-1]])
@@ -107,7 +117,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         ids = ByteIds(path)
         end = np.array([end_id], f"<u{wide}").tobytes()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=ENCODED_BYTES):
                 key = hilbert_key(positions(part.column("text"))).astype(np.int64)
                 coded = [ids.encode(t or "") for t in part.column("text").to_pylist()]
                 if wide == 2:  # the end ids join all texts' ids to one array, of which each text has its share

@@ -112,7 +112,7 @@ class ByteIds:
         ranks = {bytes(back[c] for c in t): i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t not in self.special}
         # a byte-level vocabulary's ids are its merge ranks, so one pre-token's merges can be had from the rank table
         self.piece = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-        self.cache = Bounded(lambda t: array(UNSIGNED_32, self.piece(t.encode())).tobytes())
+        self.cache = Bounded(lambda t: array(UNSIGNED_32, self.piece(t.encode())).tobytes(), most=100_000)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -643,6 +643,23 @@ def test_positions_do_not_depend_on_length():
     assert 0.8 < spread[0] / spread[1] < 1.25
 
 
+def test_word_codes_need_no_memory_of_the_whole_text(monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh\u00e9", k=rng.randint(1, 12))) for _ in range(200_000)]
+    flat, _ = split_words(pa.array([" ".join(words), "", "x" * 300_000]))
+    tracemalloc.start()
+    codes = packing.word_codes(flat)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20  # some 80 bytes for each of 1.7 million before
+    monkeypatch.setattr(packing, "CODED_BYTES", 1)  # one word at a time
+    assert packing.word_codes(flat.slice(0, 2000)).tolist() == codes[:2000].tolist()
+    monkeypatch.setattr(packing, "CODED_BYTES", 1 << 30)  # all at once
+    assert packing.word_codes(flat).tolist() == codes.tolist()
+
+
 def test_hilbert_key_is_a_curve():
     cells = np.array([(x, y) for x in range(8) for y in range(8)])
     order = cells[np.argsort(packing.hilbert_key(cells, 3))]
