@@ -183,9 +183,12 @@ def hash_words(flat: pa.Array, seed: int = 0) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, elementwise (wraps)."""
     x = np.asarray(x, np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x ^ (x >> np.uint64(30))
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 def doc_index(ends: np.ndarray) -> np.ndarray:

@@ -13,7 +13,8 @@ Only bigrams seen `least` times or more are kept; the rest of v's mass goes to P
 all of them enter, at all their levels. It is built in segments, a bucket's keys at a time. A filter of at most
 `filter_bytes` is broadcast, and every slice of text asks it in place. A larger one stays on the executors, in blocks of
 segments: the texts are taken in `groups` (by hash, to bound the disk), each slice's distinct keys are shuffled to their
-blocks, answered there, and the levels are shuffled back. Either way the same filter is asked, so scores are the same.
+blocks, answered there many slices at once, and the levels are shuffled back. The number of blocks follows the cores, not the
+input. Either way the same filter is asked, so scores are the same.
 
 The exact base score uses two tiers: the counts of the `table_size` most frequent words are broadcast, the others'
 (row, word, occurrences) are joined with the count table.
@@ -45,8 +46,10 @@ UNI, BI, MASS = 1, 2, 3
 KINDS = (UNI, BI, MASS)
 #: The count that stands for each level; 0 for none.
 VALUES = np.array([0.0, *((a + b) / 2 for a, b in zip(LEVELS, [*(x - 1 for x in LEVELS[1:]), LEVELS[-1]], strict=True))])
-#: Keys in one row of questions, and entries that a task combines at once.
+#: Keys in one row of questions, and entries that a task combines (or keys that it asks for) at once.
 ASKED, COMBINED = 1 << 15, 1 << 20
+#: Blocks of a filter that stays on the executors: so many, or four for each core of the cluster; more only beyond `filter_bytes` each.
+BLOCKS = 64
 
 
 def tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -191,10 +194,16 @@ def levels_of(n: np.ndarray) -> np.ndarray:
     return np.maximum(np.searchsorted(np.array(LEVELS, np.float64), n, side="right"), 1)
 
 
+def probes(base: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """For keys with these homes: what the bit positions of one level are taken from, first and step."""
+    h = mix(base + np.uint64(level * 0xD1B54A32D192ED03 % (1 << 64)))
+    return h, mix(h) | np.uint64(1)
+
+
 def places(base: np.ndarray, level: int, i: int) -> np.ndarray:
     """The i-th bit position of one level, inside the segment, for keys with these homes."""
-    h = mix(base + np.uint64(level * 0xD1B54A32D192ED03 % (1 << 64)))
-    return (h + np.uint64(i) * (mix(h) | np.uint64(1))) >> np.uint64(44)
+    h, step = probes(base, level)
+    return (h + np.uint64(i) * step) >> np.uint64(44)
 
 
 @dataclass
@@ -206,15 +215,31 @@ class LogFrequencyFilter:
     segments: int
 
     def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
-        """The last level found of each key, 0 if none. A key that fails a probe is not probed again."""
+        """The last level found of each key, 0 if none. Keys that fail a probe are left out of the next ones, once they are many."""
         out, at, base, level = np.zeros(len(keys), np.uint16), np.arange(len(keys)), home(keys, kind), 1
         flat = self.bits.reshape(-1)
-        begin = (share(base, self.segments).astype(np.int64) - self.first) * (SEGMENT_BITS // 8)
+        begin = (share(base, self.segments) - np.uint64(self.first)) * np.uint64(SEGMENT_BITS)
         while len(at) and level <= len(LEVELS):
+            h, step = probes(base, level)
+            start, live, held = begin, None, None  # live: those of the level's keys that are still probed
             for i in range(HASHES if level == 1 else MORE_HASHES):
-                bit = places(base, level, i)
-                held = (flat[begin + (bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                at, base, begin = at[held], base[held], begin[held]
+                if i:
+                    h += step
+                bit = h >> np.uint64(44)
+                bit += start
+                found = flat[(bit >> np.uint64(3)).view(np.int64)]
+                found >>= (bit & np.uint64(7)).astype(np.uint8)
+                found &= np.uint8(1)
+                held = found if held is None else np.bitwise_and(held, found, out=held)
+                if np.count_nonzero(held) < 0.8 * len(held):
+                    left = np.flatnonzero(held)
+                    live = left if live is None else live[left]
+                    h, step, start, held = h[left], step[left], start[left], None
+            if held is not None and not held.all():
+                left = np.flatnonzero(held)
+                live = left if live is None else live[left]
+            if live is not None:
+                at, base, begin = at[live], base[live], begin[live]
             out[at] = level
             level += 1
         return out
@@ -282,9 +307,10 @@ def fill(entries: DataFrame, buckets: int, each: int) -> DataFrame:
                 while len(base):
                     for s in np.unique(seg).tolist():
                         bits = filled.setdefault(s, np.zeros(SEGMENT_BITS, bool))
-                        own = base[seg == s]
-                        for i in range(HASHES if q == 1 else MORE_HASHES):
-                            bits[places(own, q, i).astype(np.int64)] = True
+                        h, step = probes(base[seg == s], q)
+                        for _ in range(HASHES if q == 1 else MORE_HASHES):
+                            bits[(h >> np.uint64(44)).view(np.int64)] = True
+                            h += step
                     q += 1
                     left = level >= q
                     base, level, seg = base[left], level[left], seg[left]
@@ -347,30 +373,49 @@ def asked(rows: DataFrame, segments: int, each: int) -> DataFrame:
     return rows.mapInArrow(run, "slice bigint, block bigint, at bigint, uni bigint, bi bigint, data binary, doc_id bigint, text string")
 
 
+def together(rows: list[list[np.ndarray]], own: LogFrequencyFilter) -> list[np.ndarray]:
+    """The levels of the keys of each row (of each kind in KINDS), which are asked all at once, and equal ones once: what a call
+    costs besides its keys does not depend on their number."""
+    found = []
+    for j, kind in enumerate(KINDS):
+        keys, back = np.unique(np.concatenate([r[j] for r in rows]), return_inverse=True)
+        found.append(np.split(own.levels(keys, kind)[back], np.cumsum([len(r[j]) for r in rows])[:-1]))
+    return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
 def answered(questions: DataFrame, filled: DataFrame, segments: int, each: int) -> DataFrame:
     """slice, at, data (levels) of the questions. Each block's segments come before what is asked of them."""
 
     def run(batches):
         at, own = -1, None
+        waiting: list[tuple] = []
+        many = 0
+
+        def out():
+            slice_, place, data = zip(*((s, a, found.tobytes()) for (s, a, _), found in zip(waiting, together([keys for _, _, keys in waiting], own), strict=True)), strict=True)
+            waiting.clear()
+            return emit(slice=pa.array(slice_, pa.int64()), at=pa.array(place, pa.int64()), data=pa.array(data, pa.binary()))
+
         for batch in batches:
-            slice_, place, out = [], [], []
             for block, what, s, a, uni, bi, data in zip(*(batch.column(c).to_pylist() for c in ("block", "what", "slice", "at", "uni", "bi")), batch.column("data"), strict=True):
+                if waiting and (block != at or many > COMBINED):
+                    yield out()
+                    many = 0
                 if block != at:
                     at, own = block, LogFrequencyFilter(np.zeros((min(each, segments - block * each), SEGMENT_BITS // 8), np.uint8), block * each, segments)
                 if what == 0:
                     own.bits[a - own.first] = np.frombuffer(data.as_buffer(), np.uint8)
                     continue
                 keys = np.frombuffer(data.as_buffer(), np.uint64)
-                found = np.concatenate([own.levels(k, kind) for k, kind in zip(np.split(keys, [uni, bi]), KINDS, strict=True)])
-                slice_.append(s)
-                place.append(a)
-                out.append(found.tobytes())
-            yield emit(slice=pa.array(slice_, pa.int64()), at=pa.array(place, pa.int64()), data=pa.array(out, pa.binary()))
+                waiting.append((s, a, np.split(keys, [uni, bi])))
+                many += len(keys)
+        if waiting:
+            yield out()
 
     none = F.lit(0).cast("long")
     bits = filled.select(F.floor(F.col("seg") / each).cast("long").alias("block"), F.lit(0).alias("what"), none.alias("slice"), F.col("seg").alias("at"), none.alias("uni"), none.alias("bi"), F.col("bits").alias("data"))
     both = bits.union(questions.select("block", F.lit(1).alias("what"), "slice", "at", "uni", "bi", "data"))
-    return both.repartition(partitions(questions), "block").sortWithinPartitions("block", "what").mapInArrow(run, "slice bigint, at bigint, data binary")
+    return both.repartition(max(partitions(questions), 2 * math.ceil(segments / each)), "block").sortWithinPartitions("block", "what").mapInArrow(run, "slice bigint, at bigint, data binary")
 
 
 def whole_slices(batches):
@@ -492,7 +537,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
 
         found = store(rows.mapInArrow(in_place, SCORED), "scored")
     else:
-        block = max(1, min(filter_bytes * 8 // SEGMENT_BITS, segments // (4 * partitions(rows))))
+        # the blocks follow the cores and not the input, as each slice has a row of questions for each of them
+        block = max(1, min(filter_bytes * 8 // SEGMENT_BITS, math.ceil(segments / max(BLOCKS, 4 * spark.sparkContext.defaultParallelism))))
         done = [store(_by_block(rows.filter(F.pmod(row_key(), F.lit(groups)) == g), filled, segments, block, frequent, total, distinct).withColumn("row", F.col("row") * groups + g), "scored") for g in range(groups)]
         found = done[0]
         for more in done[1:]:

@@ -140,6 +140,51 @@ def test_filter_counts_are_close(spark):
     assert np.mean(f.ask(rng.integers(0, 1 << 63, 3000).astype(np.uint64), 1) > 0) < 0.02
 
 
+def test_lm_scoring_asks_a_block_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    keys, n = rng.integers(0, 1 << 63, 500, dtype=np.uint64), rng.integers(1, 60, 500)
+    own = lm_scoring.LogFrequencyFilter(np.zeros((2, lm_scoring.SEGMENT_BITS // 8), np.uint8), 3, 5)
+    own.bits[:] = rng.integers(0, 256, own.bits.shape) & rng.integers(0, 256, own.bits.shape)  # probes of all kinds of fates
+    inside = lambda x, kind: x[np.isin(lm_scoring.share(lm_scoring.home(x, kind), 5), [3, 4])]
+    for level in range(1, 60):
+        for i in range(lm_scoring.HASHES if level == 1 else lm_scoring.MORE_HASHES):
+            x = inside(keys[n >= level], lm_scoring.UNI)
+            base = lm_scoring.home(x, lm_scoring.UNI)
+            bit = lm_scoring.places(base, level, i)
+            np.bitwise_or.at(own.bits, ((lm_scoring.share(base, 5) - np.uint64(3)).astype(int), (bit >> np.uint64(3)).astype(int)), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+
+    def one(key, kind):
+        """The definition, level after level and probe after probe."""
+        base, level = lm_scoring.home(np.array([key]), kind), 0
+        row = int(lm_scoring.share(base, 5)[0]) - 3
+        while level < len(lm_scoring.LEVELS):
+            bits = [int(lm_scoring.places(base, level + 1, i)[0]) for i in range(lm_scoring.MORE_HASHES if level else lm_scoring.HASHES)]
+            if not all(own.bits[row, b >> 3] >> (b & 7) & 1 for b in bits):
+                break
+            level += 1
+        return level
+
+    rows = [[inside(rng.choice(keys, 80), kind) for kind in lm_scoring.KINDS] for _ in range(12)]
+    calls, levels = [], lm_scoring.LogFrequencyFilter.levels
+    monkeypatch.setattr(lm_scoring.LogFrequencyFilter, "levels", lambda self, x, kind: calls.append(len(x)) or levels(self, x, kind))
+    got = lm_scoring.together(rows, own)
+    assert len(calls) == 3  # not three for each row
+    assert [g.tolist() for g in got] == [[one(k, kind) for x, kind in zip(r, lm_scoring.KINDS, strict=True) for k in x] for r in rows]
+    assert max(g.max() for g in got) > 10
+
+
+def test_lm_scoring_blocks_do_not_follow_the_partitions(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b{i % 3} c d") for i in range(30)], "doc_id bigint, text string").repartition(2)
+    seen = []
+    monkeypatch.setattr(lm_scoring, "partitions", lambda df, *a: 100)  # as of a large input
+    monkeypatch.setattr(lm_scoring, "_by_block", lambda rows, filled, segments, each, *a: seen.append((segments, each)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lm_scoring.score(docs, F.lit(True), filter_bytes=1 << 20)
+    segments, each = seen[0]
+    assert segments >= 100
+    assert math.ceil(segments / each) <= max(64, 4 * spark.sparkContext.defaultParallelism)
+
+
 def test_lm_scoring_is_the_same_by_blocks(spark):
     """A filter that stays on the executors, words beyond the broadcast table: the same scores as with both broadcast."""
     rng = random.Random(3)
