@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from blockloom.functions.text import let, strip
 
-PIECE = "array<struct<a:int,b:int,over:boolean>>"
+PIECE = "struct<a:int,b:int,over:boolean>"
 
 
 def each(df: DataFrame, keep: tuple, parts: str | Column, *names: str) -> DataFrame:
@@ -16,7 +16,7 @@ def each(df: DataFrame, keep: tuple, parts: str | Column, *names: str) -> DataFr
     return df.select(*keep, F.posexplode_outer(parts).alias(*names)).filter(F.col(names[0]).isNotNull())
 
 
-def _upto(n: Column) -> Column:
+def upto(n: Column) -> Column:
     """0..n-1, empty for n = 0."""
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
@@ -31,7 +31,7 @@ def text_pieces(rows: Column, max_chars: int) -> Column:
     The row that passes the limit ends its piece and starts the next one. A row that is alone too long ends its piece,
     stands alone if something stood before it, and does not start the next.
     """
-    state = F.struct(F.lit(0).cast("long").alias("acc"), F.lit(0).alias("start"), F.array().cast(PIECE).alias("out"))
+    state = F.struct(F.lit(0).cast("long").alias("acc"), F.lit(0).alias("start"), F.array().cast(f"array<{PIECE}>").alias("out"))
 
     def step(s: Column, j: Column) -> Column:
         size = F.get(rows, j)["len"].cast("long")
@@ -47,7 +47,9 @@ def text_pieces(rows: Column, max_chars: int) -> Column:
         n = F.size(rows)
         return F.when(s["start"] < n, F.concat(s["out"], F.array(_piece(s["start"], n - 1, False)))).otherwise(s["out"])
 
-    return F.aggregate(_upto(F.size(rows)), state, step, finish)
+    # rows that fit together are one piece
+    fits = F.aggregate(rows["len"], F.lit(0).cast("long"), lambda n, size: n + size) <= max_chars
+    return F.when(fits & (F.size(rows) > 0), F.array(_piece(F.lit(0), F.size(rows) - 1, False))).otherwise(F.aggregate(upto(F.size(rows)), state, step, finish))
 
 
 def _breaks(lines: Column, first: int, head: Column, max_chars: int) -> Column:

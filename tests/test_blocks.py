@@ -220,3 +220,29 @@ def test_folds_are_computed_once_and_titles_take_one_window(spark):
         assert plan(name).count("aggregate(") == 1, name
     assert plan("generic_chunks").count("regexp_extract_all(") == 1
     assert plan("nested_titles").count("Window [") == 1
+
+
+def test_blocks_are_one_fold_over_runs(spark, tmp_path):
+    spark.createDataFrame([("f", "# a\nx\n| t |\n")], "file_path string, text string").write.parquet(str(tmp_path / "docs"))
+    plan = blocks(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Aggregate [" not in plan  # the one window numbers blocks
+
+
+def test_runs_have_the_kinds_of_their_lines(spark):
+    from blockloom.operators import rows
+
+    draw = random.Random(3)
+    parts = ["# a", "#k/v", "| x |", "|", "| x | ", "|x", "```", "~~~ py", " ```", "a", " a", "", "　# b", "`a`", "## ", "#", "|\x1c|\x1c", "a```"]
+    docs = spark.createDataFrame([(str(i), "\n".join(draw.choices(parts, k=draw.choice([0, 1, 5, 40])))) for i in range(60)], "file_path string, text string")
+    kind = {"text": rows.PLAIN, "fence": rows.FENCE, "header": rows.HEADER, "tag": rows.TAG, "table": rows.TABLE}
+    expected = sorted((r.file_path, r.idx, r.text, kind[r.kind]) for r in rows.classify(rows.lines(docs)).withColumn("kind", rows.kind()).collect())
+    found = sorted((r.file_path, run.idx + n, text, run.kind) for r in rows.runs(docs).collect() for run in r.runs for n, text in enumerate(run.texts))
+    assert found == expected
+
+
+def test_state_is_kept_over_many_runs(spark):
+    from blockloom.operators.blocks import STEPS
+
+    n = 3 * STEPS
+    found = run(spark, "#top\n" + "".join(f"# h{i}\n#k/{i}\nx\n" for i in range(n)))
+    assert [(first, own) for first, _, _, _, _, own in found] == [(3 * i + 2, [("topic", "top"), ("k", str(i)), ("title", f"h{i}")]) for i in range(n)]
